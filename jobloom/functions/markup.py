@@ -50,10 +50,10 @@ def _decode_number(piece: Column) -> Column:
         .when(hexadecimal, F.conv(digits, 16, 10).cast("int"))
         .otherwise(digits.cast("int"))
     )
-    overrides = map_literal({str(k): v for k, v in _code_point_overrides().items()}, "map<int,string>")
+    overrides = map_literal({str(k): v for k, v in _code_point_overrides().items()}, "map<string,string>")
     character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     return F.coalesce(
-        F.try_element_at(overrides, code),
+        F.try_element_at(overrides, code.cast("string")),
         F.when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit(REPLACEMENT))
         .when(_is_dropped(code), F.lit(""))
         .otherwise(character),

@@ -43,8 +43,12 @@ def _open(reader) -> DataFrame | None:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with every column as text; quoted line breaks are allowed."""
-    return spark.read.options(**_CSV, multiLine=True, inferSchema=False).csv(path)
+    """Header CSV with every column as text; quoted line breaks are allowed.
+
+    An empty field is null and a quoted empty field is the empty text: the mark
+    for null is set to a sign no text holds, or the reader would merge the two.
+    """
+    return spark.read.options(**_CSV, multiLine=True, inferSchema=False, nullValue="\0").csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
