@@ -69,7 +69,8 @@ def normalise_location(location: Column | str, legacy_suffix: bool = False) -> C
         F.try_element_at(map_literal(LOCATION_ALIASES, "map<string,string>"), F.lower(head)), head
     )
     places = [blank_to_null(F.regexp_extract(named, pattern, 1)) for pattern in PLACE_IN_REMOTE_TEXT]
-    place = F.coalesce(*places, named)
+    # All four patterns ask for the word, so most rows skip them.
+    place = F.when(F.lower(named).contains("remote"), F.coalesce(*places, named)).otherwise(named)
     lead = r",?\s*" if legacy_suffix else r"(?:^|,\s*|\s+)"
     country_tail = rf"(?i){lead}({COUNTRY_CODES})\s*$"
     short = F.trim(F.regexp_replace(F.regexp_replace(place, REGION_TAIL, ""), country_tail, ""))
@@ -95,8 +96,10 @@ def _numbers(value: Column | str, k_suffix: bool) -> tuple[Column, Column]:
             shape = rf"(?i)(\d+)\.(\d{{{decimals}}})k\b"
             text = F.regexp_replace(text, shape, "$1$2" + "0" * (3 - decimals))
         text = F.regexp_replace(text, r"(?i)(?<![\d.])(\d+)k\b", "$1000")
+    # No match is the empty text: made null first, since a failing cast is slow.
     first, second = (
-        F.regexp_extract(text, pattern, 1).try_cast("double") for pattern in (FIRST_NUMBER, SECOND_NUMBER)
+        blank_to_null(F.regexp_extract(text, pattern, 1)).try_cast("double")
+        for pattern in (FIRST_NUMBER, SECOND_NUMBER)
     )
     return first, second
 

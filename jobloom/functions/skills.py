@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -71,34 +70,56 @@ def search_groups(terms: tuple[str, ...], boundary: str = "word") -> list[list[s
     return groups
 
 
-def _term_pattern(term: str, boundary: str) -> tuple[str, str, str]:
-    """Left edge, term, right edge. A word edge next to a sign needs a letter outside."""
-    literal = re.sub(r"([^\w\s])", r"\\\1", term)
-    no_word_left, no_word_right = rf"(?<!{_WORD})", rf"(?!{_WORD})"
-    if boundary == "token":
-        return no_word_left, literal, no_word_right
-    left = no_word_left if _is_word(term[0]) else rf"(?<={_WORD})"
-    right = no_word_right if _is_word(term[-1]) else rf"(?={_WORD})"
-    return left, literal, right
+def _literal(char: str) -> str:
+    return char if char.isalnum() or char == " " else "\\" + char
+
+
+def _tails(words: list[str]) -> str:
+    """A pattern for any of the words, shared beginnings written once."""
+    by_head: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            by_head.setdefault(word[0], []).append(word[1:])
+    branches = [_literal(head) + _tails(rest) for head, rest in sorted(by_head.items())]
+    body = "|".join(branches)
+    if "" in words and branches:
+        return f"(?:{body})?"
+    return f"(?:{body})" if len(branches) > 1 else body
+
+
+def _edges(term: str, boundary: str) -> tuple[str, str]:
+    """Look-arounds for both ends: a word edge next to a sign needs a letter outside."""
+    letter_left, letter_right = (boundary == "word" and not _is_word(end) for end in (term[0], term[-1]))
+    return (
+        rf"(?<={_WORD})" if letter_left else rf"(?<!{_WORD})",
+        rf"(?={_WORD})" if letter_right else rf"(?!{_WORD})",
+    )
 
 
 def group_pattern(group: list[str], boundary: str = "word") -> str:
-    """One alternation for a group, terms gathered by edges and by first letter."""
-    by_edge: dict[tuple[str, str], dict[str, list[str]]] = {}
-    for term in sorted(group, key=lambda t: (-len(t), t)):
-        left, literal, right = _term_pattern(term, boundary)
-        head = literal[:2] if literal[0] == "\\" else literal[0]
-        by_edge.setdefault((left, right), {}).setdefault(head, []).append(literal[len(head):])
+    """One pattern for a group of terms.
+
+    The cheapest test comes first: whether a term starts with the letter at hand,
+    then the left edge, then the terms themselves, gathered by shared beginnings.
+    """
+    by_left: dict[str, dict[str, list[str]]] = {}
+    for term in group:
+        left, right = _edges(term, boundary)
+        by_left.setdefault(left, {}).setdefault(right, []).append(term)
     branches = []
-    for (left, right), heads in by_edge.items():
-        body = "|".join(head + "(?:" + "|".join(tails) + ")" for head, tails in sorted(heads.items()))
-        branches.append(f"{left}(?:{body}){right}")
-    return "(" + "|".join(branches) + ")"
+    for left, by_right in by_left.items():
+        terms = [term for some in by_right.values() for term in some]
+        heads = "".join(_literal(head) for head in sorted({term[0] for term in terms}))
+        body = "|".join(f"(?:{_tails(some)}){right}" for right, some in by_right.items())
+        branches.append(f"(?=[{heads}]){left}(?:{body})")
+    return "|".join(branches)
 
 
 def _fold(text: Column) -> Column:
     """Lower case under which the special capital and long forms of i, s match too."""
-    return F.lower(F.translate(text, "İıſ", "iis"))
+    for special, plain in (("İ", "i"), ("ı", "i"), ("ſ", "s")):
+        text = F.replace(text, F.lit(special), F.lit(plain))
+    return F.lower(text)
 
 
 def find_terms(
@@ -117,7 +138,7 @@ def find_terms(
         return F.array().cast("array<string>")
     folded = _fold(text_or_empty(text))
     hits = [
-        F.regexp_extract_all(folded, F.lit(group_pattern(group, boundary)), F.lit(1))
+        F.regexp_extract_all(folded, F.lit(group_pattern(group, boundary)), F.lit(0))
         for group in search_groups(terms, boundary)
     ]
     found = hits[0] if len(hits) == 1 else F.flatten(F.array(*hits))

@@ -108,7 +108,10 @@ def work_mode_split(df: DataFrame) -> DataFrame:
 
     The window runs over the finished counts, one row per mode.
     """
-    counts = with_work_mode(df).groupBy(F.col("work_mode").alias("mode")).agg(_rows().alias("count"))
+    return with_share(with_work_mode(df).groupBy(F.col("work_mode").alias("mode")).agg(_rows().alias("count")))
+
+
+def with_share(counts: DataFrame) -> DataFrame:
     total = F.sum("count").over(Window.partitionBy())
     return counts.withColumn("share", F.round(F.col("count") * 100.0 / total, 1)).orderBy(F.desc("count"), "mode")
 
@@ -116,3 +119,31 @@ def work_mode_split(df: DataFrame) -> DataFrame:
 def remote_locations(df: DataFrame, n: int = 12) -> DataFrame:
     remote = with_work_mode(df).where(F.col("work_mode") == "Remote")
     return top_values(remote, "location", n)
+
+
+def facet_counts(df: DataFrame, facets: dict[str, Column]) -> DataFrame:
+    """Rows (facet, name, count): several group counts from one pass and one shuffle.
+
+    A facet is a text column, or an array of texts of which every element counts.
+    Nulls do not count. Each posting meets the partial aggregate once per facet,
+    so only one row per distinct name and task travels.
+    """
+    kinds = dict(df.select(*[value.alias(facet) for facet, value in facets.items()]).dtypes)
+
+    def cells(facet: str, value: Column) -> Column:
+        names = value if kinds[facet].startswith("array") else F.array(value.cast("string"))
+        return F.transform(names, lambda name: F.struct(F.lit(facet).alias("facet"), name.alias("name")))
+
+    all_cells = F.concat(*[F.coalesce(cells(facet, value), F.array()) for facet, value in facets.items()])
+    return (
+        df.select(F.inline(all_cells))
+        .where(F.col("name").isNotNull())
+        .groupBy("facet", "name")
+        .agg(_rows().alias("count"))
+    )
+
+
+def facet(counts: DataFrame, name: str, n: int | None = None) -> DataFrame:
+    """One facet of `facet_counts` as (name, count), most frequent first."""
+    ranked = counts.where(F.col("facet") == name).select("name", "count").orderBy(F.desc("count"), "name")
+    return ranked if n is None else ranked.limit(n)

@@ -54,11 +54,14 @@ def spread(values: DataFrame) -> DataFrame:
     in_middle = values.withColumn("bucket", _bucket(F.col("value"))).join(
         F.broadcast(middle), ["metric", "bucket"]
     )
-    facts = ["metric", "count", "smallest", "largest"]
-    repeated = in_middle.groupBy(*facts, "before", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    reached = F.col("before") + F.sum("n").over(Window.partitionBy("metric", "bucket").orderBy("value"))
+    facts = [F.first(name).alias(name) for name in ("count", "smallest", "largest", "before")]
+    repeated = in_middle.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"), *facts)
+    # Middle buckets follow each other, so one running total crosses them.
+    reached = F.min("before").over(whole) + F.sum("n").over(whole.orderBy("value"))
     ranked = repeated.withColumn("reached", reached)
     at_middle = ranked.where(
         (F.col("reached") - F.col("n") < last_rank) & (F.col("reached") >= first_rank)
     )
-    return at_middle.groupBy(*facts).agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+    return at_middle.groupBy("metric", "count", "smallest", "largest").agg(
+        ((F.min("value") + F.max("value")) / 2).alias("median")
+    )

@@ -14,11 +14,16 @@ from jobloom.functions.skills import split_skills
 DISPLAY_MIN, DISPLAY_MAX, DISPLAY_DEFAULT = 5, 40, 20
 
 
+def skill_array(postings: DataFrame, column: str = "skills") -> Column:
+    """Lower-cased skills of each posting, stored as array or as text."""
+    if postings.schema[column].dataType.typeName() == "array":
+        return F.transform(column, lambda skill: F.lower(F.trim(skill)))
+    return split_skills(column)
+
+
 def posting_skills(postings: DataFrame, column: str = "skills") -> DataFrame:
     """Long rows (job_id, skill) of postings."""
-    kind = postings.schema[column].dataType.typeName()
-    names = F.transform(F.col(column), lambda s: F.lower(F.trim(s))) if kind == "array" else split_skills(column)
-    return postings.select("job_id", F.explode(names).alias("skill"))
+    return postings.select("job_id", F.explode(skill_array(postings, column)).alias("skill"))
 
 
 def skill_sets(pairs: DataFrame) -> DataFrame:
@@ -36,7 +41,11 @@ def _demand(pairs: DataFrame) -> DataFrame:
 
 def skill_rankings(pairs: DataFrame) -> DataFrame:
     """(skill, demand) with title-cased labels, highest demand first."""
-    ranked = _demand(pairs).orderBy(F.desc("demand"), "skill")
+    return label_rankings(_demand(pairs))
+
+
+def label_rankings(demand: DataFrame) -> DataFrame:
+    ranked = demand.orderBy(F.desc("demand"), "skill")
     return ranked.select(title_case("skill").alias("skill"), "demand")
 
 
@@ -52,7 +61,11 @@ def ranked_top_n(pairs: DataFrame, n: int = DISPLAY_DEFAULT) -> DataFrame:
 
 
 def skill_totals(pairs: DataFrame) -> DataFrame:
-    return _demand(pairs).agg(
+    return sum_demand(_demand(pairs))
+
+
+def sum_demand(demand: DataFrame) -> DataFrame:
+    return demand.agg(
         F.coalesce(F.sum("demand"), F.lit(0)).cast("bigint").alias("total_mentions"),
         F.count(F.lit(1)).alias("unique_skills"),
     )
@@ -77,10 +90,8 @@ def skill_cooccurrence(postings: DataFrame, n: int | None = 15, column: str = "s
     dictionary, and counted before the shuffle: what travels is at most one row
     per pair of dictionary terms and task, however many postings there are.
     """
-    kind = postings.schema[column].dataType.typeName()
-    names = F.transform(F.col(column), lambda s: F.lower(F.trim(s))) if kind == "array" else split_skills(column)
     # A projection of its own keeps the prepared array from being built once per use.
-    sets = postings.select(F.array_sort(F.array_distinct(names)).alias("skills"))
+    sets = postings.select(F.array_sort(F.array_distinct(skill_array(postings, column))).alias("skills"))
     counted = (
         sets.where(F.size("skills") > 1)
         .select(F.explode(unordered_pairs("skills")).alias("pair"))

@@ -14,22 +14,62 @@ COLUMNS = (
     "job_id", "title", "company", "location", "posted_date", "work_mode",
     "salary_min", "salary_max", "skills", "skill_count",
 )
+TOP = 12
 NO_DATA = "No data available. Run the ingestion and cleaning first."
 
 
-def sections(postings: DataFrame) -> dict[str, DataFrame]:
-    """All sections of prepared, filtered postings, each a lazy plan of its own."""
+def _facets(postings: DataFrame) -> DataFrame:
+    """Everything the sections count by name, in one pass."""
+    moded = market.with_work_mode(postings)
+    facets = {
+        "location": F.col("location"),
+        "company": F.col("company"),
+        "day": F.col("posted_date"),
+        "mode": F.col("work_mode"),
+        "remote_location": F.when(F.col("work_mode") == "Remote", F.col("location")),
+    }
+    if "skills" in postings.columns:
+        facets["skill"] = skill_demand.skill_array(postings)
+    return market.facet_counts(moded, facets)
+
+
+def _metrics(postings: DataFrame, counts: DataFrame) -> DataFrame:
+    """Headline figures: distinct names are the rows of a facet, so no distinct count runs."""
+    has = set(postings.columns)
+    mean_skills = F.round(F.avg("skill_count"), 1) if "skill_count" in has else F.lit(0.0)
+    figures = postings.agg(
+        F.count(F.lit(1)).alias("total_jobs"),
+        F.coalesce(mean_skills, F.lit(0.0)).alias("avg_skills"),
+        (F.count("salary_min") if "salary_min" in has else F.lit(0).cast("bigint")).alias("with_salary"),
+    )
+    distinct = counts.agg(
+        F.struct(
+            F.count_if(F.col("facet") == "company").alias("companies"),
+            F.count_if(F.col("facet") == "location").alias("locations"),
+        ).alias("n")
+    )
+    return figures.withColumn("n", distinct.scalar()).select(
+        "total_jobs", "n.companies", "n.locations", "avg_skills", "with_salary"
+    )
+
+
+def sections(postings: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
+    """All sections of prepared, filtered postings and their facet counts; all lazy."""
+    days = counts.where(F.col("facet") == "day")
+    modes = market.facet(counts, "mode").withColumnRenamed("name", "mode")
     parts = {
-        "metrics": market.headline_metrics(postings),
-        "top_locations": market.top_values(postings, "location"),
-        "top_companies": market.top_values(postings, "company"),
-        "timeline": market.timeline(postings),
+        "metrics": _metrics(postings, counts),
+        "top_locations": market.facet(counts, "location", TOP),
+        "top_companies": market.facet(counts, "company", TOP),
+        "timeline": days.select(F.col("name").cast("date").alias("date"), "count").orderBy("date"),
+        "work_mode_split": market.with_share(modes),
+        "remote_locations": market.facet(counts, "remote_location", TOP),
     }
     if "skills" in postings.columns:
-        pairs = skill_demand.posting_skills(postings)
+        demand = market.facet(counts, "skill").toDF("skill", "demand")
         parts |= {
-            "skill_rankings": skill_demand.skill_rankings(pairs),
-            "skill_totals": skill_demand.skill_totals(pairs),
+            "skill_rankings": skill_demand.label_rankings(demand),
+            "skill_totals": skill_demand.sum_demand(demand),
             "skill_cooccurrence": skill_demand.skill_cooccurrence(postings),
         }
     if "salary_min" in postings.columns:
@@ -39,17 +79,14 @@ def sections(postings: DataFrame) -> dict[str, DataFrame]:
             "salary_ranges": salaries.salary_ranges(postings),
             "salary_table": salaries.salary_table(postings),
         }
-    return parts | {
-        "work_mode_split": market.work_mode_split(postings),
-        "remote_locations": market.remote_locations(postings),
-    }
+    return parts
 
 
 class Dashboard:
-    """Sections over one persisted copy of the filtered postings.
+    """Sections over one persisted copy of the filtered postings and of their counts.
 
-    Only the columns the sections read are kept. Use as a context manager, or
-    call `close()`, to let the copy go.
+    Only the columns the sections read are kept. Lost blocks are computed again
+    from the source. Use as a context manager, or call `close()`, to let go.
     """
 
     def __init__(
@@ -61,8 +98,9 @@ class Dashboard:
     ):
         narrow = postings.select(*[c for c in COLUMNS if c in postings.columns])
         chosen = market.filter_postings(market.prepare(narrow), locations, date_from, date_to)
-        self._kept = chosen.persist(StorageLevel.MEMORY_AND_DISK)
-        self.sections = sections(self._kept)
+        self.postings = chosen.persist(StorageLevel.MEMORY_AND_DISK)
+        self.counts = _facets(self.postings).persist(StorageLevel.MEMORY_AND_DISK)
+        self.sections = sections(self.postings, self.counts)
 
     def __enter__(self) -> Dashboard:
         return self
@@ -71,7 +109,8 @@ class Dashboard:
         self.close()
 
     def close(self) -> None:
-        self._kept.unpersist()
+        self.counts.unpersist()
+        self.postings.unpersist()
 
 
 def dashboard(
