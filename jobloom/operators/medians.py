@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Buckets per natural-log unit: values in a bucket differ by less than 0.025 %.
-_FINENESS = 4096
+# Coarse buckets per natural-log unit: values in one differ by less than 0.025 %.
+_COARSE = 4096
+# Fine buckets within a coarse one; for values of 1 and more, about two million
+# different doubles fit in each, and of amounts in cents a handful.
+_FINE = 1 << 20
 
 
-def _bucket(value: Column) -> Column:
+def _coarse(value: Column) -> Column:
     """A never-falling whole number of the value.
 
     All finite numbers together have fewer than six million buckets, and amounts
     of money up to a billion fewer than 90,000, however many rows there are.
     """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _FINENESS)
+    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _COARSE)
+
+
+def _fine(value: Column, low: Column, high: Column) -> Column:
+    """Equal-width place of a value between the ends of its coarse bucket."""
+    return F.when(high > low, F.floor((value - low) / (high - low) * _FINE)).otherwise(F.lit(0))
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,45 +31,63 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
 
 
+def _holding_middle(counted: DataFrame, order: list[str], start: Column) -> DataFrame:
+    """Of counted groups in rising order, the one or two that hold the middle ranks.
+
+    Adds `before`, the rank just in front of the group; `start` is that of the
+    first group, and `count` the number of values of the metric.
+    """
+    rising = Window.partitionBy("metric").orderBy(*order)
+    first_rank, last_rank = F.floor((F.col("count") + 1) / 2), F.floor((F.col("count") + 2) / 2)
+    return counted.withColumn("before", start + F.sum("n").over(rising) - F.col("n")).where(
+        (F.col("before") < last_rank) & (F.col("before") + F.col("n") >= first_rank)
+    )
+
+
 def spread(values: DataFrame) -> DataFrame:
     """Per metric of (metric, value) rows: count, exact median, smallest and largest value.
 
-    First pass: rows per bucket, counted before the shuffle; running totals over
-    the buckets tell which one or two hold the middle ranks. Second pass: only
-    rows of those buckets, again counted per distinct value. `Percentile`, in
-    contrast, would gather all distinct values in one task.
+    Ranks are narrowed down in three steps: rows per coarse bucket, then per fine
+    bucket of the middle coarse ones, then per value of the middle fine ones.
+    Every step counts before its shuffle, and only the short tables of counts
+    are summed up in order. The input is read twice. The built-in exact
+    percentile would gather all distinct values in one task instead.
     """
-    sizes = values.groupBy("metric", _bucket(F.col("value")).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
     whole = Window.partitionBy("metric")
-    up_to = whole.orderBy("bucket")
-    placed = sizes.select(
-        "metric",
-        "bucket",
-        (F.sum("n").over(up_to) - F.col("n")).alias("before"),
-        "n",
-        F.sum("n").over(whole).alias("count"),
-        F.min("low").over(whole).alias("smallest"),
-        F.max("high").over(whole).alias("largest"),
+    coarse = (
+        values.groupBy("metric", _coarse(F.col("value")).alias("coarse"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumns(
+            {
+                "count": F.sum("n").over(whole),
+                "smallest": F.min("low").over(whole),
+                "largest": F.max("high").over(whole),
+            }
+        )
     )
-    first_rank = F.floor((F.col("count") + 1) / 2)
-    last_rank = F.floor((F.col("count") + 2) / 2)
-    middle = placed.where(
-        (F.col("before") < last_rank) & (F.col("before") + F.col("n") >= first_rank)
-    ).drop("n")
-    # At most two buckets per metric: always small enough to broadcast.
-    in_middle = values.withColumn("bucket", _bucket(F.col("value"))).join(
-        F.broadcast(middle), ["metric", "bucket"]
+    middle = _holding_middle(coarse, ["coarse"], F.lit(0)).drop("n")
+
+    # At most two groups per metric, here and below: always small enough to broadcast.
+    in_middle = values.withColumn("coarse", _coarse(F.col("value"))).join(F.broadcast(middle), ["metric", "coarse"])
+    carried = ("count", "smallest", "largest", "low", "high", "before")
+    distinct = (
+        in_middle.groupBy("metric", "coarse", "value")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.first(name).alias(name) for name in carried])
+        .withColumn("fine", _fine(F.col("value"), F.col("low"), F.col("high")))
+        .withColumnRenamed("before", "start")
     )
-    facts = [F.first(name).alias(name) for name in ("count", "smallest", "largest", "before")]
-    repeated = in_middle.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"), *facts)
-    # Middle buckets follow each other, so one running total crosses them.
-    reached = F.min("before").over(whole) + F.sum("n").over(whole.orderBy("value"))
-    ranked = repeated.withColumn("reached", reached)
-    at_middle = ranked.where(
-        (F.col("reached") - F.col("n") < last_rank) & (F.col("reached") >= first_rank)
+    fine = distinct.groupBy("metric", "coarse", "fine", "count").agg(
+        F.sum("n").alias("n"), F.min("start").alias("start")
+    )
+    fine_middle = _holding_middle(fine, ["coarse", "fine"], F.min("start").over(whole)).select(
+        "metric", "coarse", "fine", "before"
+    )
+
+    candidates = distinct.join(F.broadcast(fine_middle), ["metric", "coarse", "fine"])
+    at_middle = _holding_middle(
+        candidates.withColumnRenamed("before", "start_here"), ["value"], F.min("start_here").over(whole)
     )
-    return at_middle.groupBy("metric", "count", "smallest", "largest").agg(
-        ((F.min("value") + F.max("value")) / 2).alias("median")
+    return at_middle.groupBy("metric").agg(
+        *[F.first(name).alias(name) for name in ("count", "smallest", "largest")],
+        ((F.min("value") + F.max("value")) / 2).alias("median"),
     )

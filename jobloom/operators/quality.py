@@ -7,18 +7,31 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from jobloom.functions.common import as_col
+from jobloom.operators.market import facet_counts
 
 
 def ingestion_summary(raw: DataFrame) -> DataFrame:
-    """Totals of a raw table; sources are few and joined in name order."""
-    return raw.agg(
+    """Totals of a raw table; sources are few and joined in name order.
+
+    Distinct names are counted apart from the text minimum and maximum: together
+    they would make Spark sort every task's rows instead of hashing them.
+    """
+    names = facet_counts(raw, {"company": F.col("company"), "location": F.col("location")})
+    distinct = names.agg(
+        F.struct(
+            F.count_if(F.col("facet") == "company").alias("companies"),
+            F.count_if(F.col("facet") == "location").alias("locations"),
+        )
+    ).scalar()
+    totals = raw.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"),
-        F.count_distinct("company").alias("companies"),
-        F.count_distinct("location").alias("locations"),
         F.min("posted_date").alias("first_posted"),
         F.max("posted_date").alias("last_posted"),
     )
+    return totals.withColumn("n", distinct).select(
+        "total_records", "sources", "n.companies", "n.locations", "first_posted", "last_posted"
+    )
 
 
 def cleaning_summary(clean: DataFrame) -> DataFrame:

@@ -119,9 +119,10 @@ def _names(spark, sf_dir, column: str) -> DataFrame:
 
 def two_loads_of_skills(spark, sf_dir) -> DataFrame:
     """Part types first; then brands and part names, among types already known."""
-    dim = warehouse.upsert_skill_dim(None, _names(spark, sf_dir, "p_type"))
+    dim = storage.VersionedTable(spark, storage.shared_folder(spark, "skills"))
+    first = dim.write(warehouse.upsert_skill_dim(None, _names(spark, sf_dir, "p_type")))
     later = [_names(spark, sf_dir, column) for column in ("p_brand", "p_type", "p_name")]
-    return warehouse.upsert_skill_dim(dim, later[0].union(later[1]).union(later[2]).distinct())
+    return dim.write(warehouse.upsert_skill_dim(first, later[0].union(later[1]).union(later[2]).distinct()))
 
 
 _DIM = """first_load as (select cast(row_number() over (order by n) as integer) as skill_id, n as skill_name
