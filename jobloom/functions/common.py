@@ -6,7 +6,7 @@ import json
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def as_col(value: Column | str) -> Column:
@@ -32,13 +32,23 @@ def mentions_any(value: Column, words: tuple[str, ...]) -> Column:
     return reduce(or_, [lowered.contains(word) for word in words])
 
 
+def _finite(number: Column) -> Column:
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def coerce_number(value: Column | str) -> Column:
-    """Number or null: unparsable text, NaN and infinities count as missing."""
+    """Number of a text, or null: unparsable text, NaN and infinities count as missing."""
     raw = as_col(value)
     # The shape test keeps out suffixes such as "12d" that a plain cast accepts.
     number_shape = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-    number = F.when(raw.cast("string").rlike(number_shape), raw.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return _finite(F.when(raw.cast("string").rlike(number_shape), raw.try_cast("double")))
+
+
+def number_column(df: DataFrame, name: str) -> Column:
+    """`coerce_number` of a stored column; one that holds numbers needs no parsing."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return _finite(F.col(name).cast("double"))
+    return coerce_number(name)
 
 
 def title_case(value: Column | str) -> Column:

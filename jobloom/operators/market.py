@@ -9,7 +9,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobloom.functions.common import as_col, blank_to_null, coerce_number, mentions_any, text_or_empty
+from jobloom.functions.common import as_col, blank_to_null, mentions_any, number_column, text_or_empty
 from jobloom.functions.fields import FALLBACK_LOCATION_WORDS, posted_date
 
 def _rows() -> Column:
@@ -23,7 +23,7 @@ def prepare(df: DataFrame) -> DataFrame:
         casts["posted_date"] = posted_date("posted_date")
     for name in ("salary_min", "salary_max", "skill_count"):
         if name in df.columns:
-            casts[name] = coerce_number(name)
+            casts[name] = number_column(df, name)
     if "is_remote" in df.columns:
         casts["is_remote"] = F.col("is_remote").try_cast("boolean")
     return df.withColumns(casts) if casts else df

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom import schemas
-from jobloom.functions.common import coerce_number
+from jobloom.functions.common import number_column
 from jobloom.functions.skills import split_skills
 from jobloom.operators.keyed import dedupe_last, number_by_name
 
@@ -28,7 +28,7 @@ def to_warehouse_types(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
     def typed(field) -> Column:
         column = F.col(field.name)
         if field.name in ("salary_min", "salary_max"):
-            column = coerce_number(column).try_cast(field.dataType)
+            column = number_column(source, field.name).try_cast(field.dataType)
         elif field.name == "is_remote":
             column = F.coalesce(column.try_cast("boolean"), F.lit(False))
         else:
@@ -41,8 +41,8 @@ def to_warehouse_types(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
         if limit
     ]
     in_range = [
-        F.coalesce(coerce_number(name).try_cast("decimal(12,2)").isNotNull(), F.lit(False)) | coerce_number(name).isNull()
-        for name in ("salary_min", "salary_max")
+        number.isNull() | number.try_cast("decimal(12,2)").isNotNull()
+        for number in (number_column(source, name) for name in ("salary_min", "salary_max"))
     ]
     fits = reduce(and_, [F.col("job_id").isNotNull(), F.col("title").isNotNull(), *limits, *in_range])
     accepted = source.where(fits).select(*[typed(field) for field in schemas.WAREHOUSE_JOBS])

@@ -64,7 +64,10 @@ def _or_default(value: Column, default: str) -> Column:
 def normalise_feed_a(payloads: DataFrame, source: str = FEED_A) -> DataFrame:
     """Raw rows from payloads with a `jobs` list; a payload without one gives none."""
     order = [F.col("payload_no")] if "payload_no" in payloads.columns else []
-    jobs = payloads.select(*order, F.posexplode("jobs").alias("place_no", "job"))
+    # The outer form: for the inner one Spark tests the list for emptiness below
+    # the explode, and would parse a payload held as JSON text a second time.
+    jobs = payloads.select(*order, F.posexplode_outer("jobs").alias("place_no", "job"))
+    jobs = jobs.where(F.col("job").isNotNull())
     job = F.col("job")
     columns = [
         F.concat(F.lit(f"{source}_"), text_or_empty(job["id"])).alias("job_id"),
