@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def _open(reader) -> DataFrame | None:
+def open_if_present(reader) -> DataFrame | None:
     """The frame, or None where nothing lies at the path."""
     try:
         return reader()
@@ -70,9 +70,9 @@ def write_raw(raw: DataFrame, base: str, payload: DataFrame | None = None) -> No
 
 def read_raw(spark: SparkSession, parquet: str | None, csv: str | None = None) -> DataFrame:
     """Parquet if present, else CSV, else an empty frame; cleaning inputs always exist."""
-    found = _open(lambda: spark.read.parquet(parquet)) if parquet else None
+    found = open_if_present(lambda: spark.read.parquet(parquet)) if parquet else None
     if found is None and csv:
-        found = _open(lambda: read_csv(spark, csv))
+        found = open_if_present(lambda: read_csv(spark, csv))
     if found is None:
         found = spark.createDataFrame([], "job_id string")
     return ensure_columns(found, schemas.CLEANING_INPUTS)
@@ -106,9 +106,9 @@ def read_clean(
     CSV columns arrive as text; known ones are cast to the clean schema. To read
     a large database table in parallel, give `partitionColumn` and its bounds.
     """
-    found = _open(lambda: spark.read.parquet(parquet)) if parquet else None
+    found = open_if_present(lambda: spark.read.parquet(parquet)) if parquet else None
     if found is None and csv:
-        found = _open(lambda: read_csv(spark, csv))
+        found = open_if_present(lambda: read_csv(spark, csv))
         if found is not None:
             kinds = {field.name: field.dataType for field in schemas.CLEAN}
             found = found.select(
@@ -155,7 +155,7 @@ class VersionedTable:
         self._spark, self._base = spark, base.rstrip("/")
 
     def _pointer(self) -> tuple[int, str] | None:
-        log = _open(lambda: self._spark.read.schema("version int, path string").parquet(f"{self._base}/_pointer_log"))
+        log = open_if_present(lambda: self._spark.read.schema("version int, path string").parquet(f"{self._base}/_pointer_log"))
         if log is None:
             return None
         newest = log.agg(F.max(F.struct("version", "path")).alias("at")).first()["at"]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobloom import schemas
+from jobloom.__main__ import main
 from jobloom.operators import keyed, market, quality, runlog, warehouse
 from jobloom.plans import batch
 from jobloom.sources import feeds, storage
@@ -204,3 +205,17 @@ def test_hot_key(spark):
     counts = keyed.dedupe_counts(df).first()
     assert (counts["rows_before"], counts["rows_after"]) == (30000, expected.count())
     assert market.top_values(df, "job_id", 1).first()["count"] == 10000
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "a.json").write_text(json.dumps(FEED_A))
+    base = str(tmp_path / "out")
+    main(["batch", "--feed-a", str(tmp_path / "a.json"), "--feed-b", str(tmp_path / "missing.json"), "--base", base], spark)
+    assert "load: 2 rows" in capsys.readouterr().out
+    main(["dashboard", "--base", base, "--out", f"{base}/board", "--location", "Remote"], spark)
+    board = spark.read.json(f"{base}/board")
+    assert board.where("section = 'metrics' and measure = 'total_jobs'").first()["value"] == 2.0
+    for kind in ("parquet", "csv"):
+        main(["enrich", "--table", f"{base}/clean/{kind}", "--out", f"{base}/enriched_{kind}"], spark)
+        got = {r["job_id"]: r["skills"] for r in spark.read.parquet(f"{base}/enriched_{kind}").collect()}
+        assert got == {"remotive_7": "kafka, python, spark, sql", "remotive_8": ""}
