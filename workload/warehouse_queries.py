@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.operators import warehouse
 from jobloom.sources import storage
 from workload.registry import register
 from workload.views import sql, table, view, with_views
 
-FIRST_LOAD, SECOND_LOAD = datetime(2025, 3, 1, 6), datetime(2025, 3, 2, 6)
+FIRST_LOAD, SECOND_LOAD = "2025-03-01 06:00:00", "2025-03-02 06:00:00"
 
 # The stored table holds orders up to a day; the batch brings those from another
 # day on, so that the time between is updated and the rest is new. Orders of two
@@ -25,6 +23,10 @@ _BATCH = (
 )
 
 
+def _at(time: str) -> Column:
+    return F.lit(time).cast("timestamp")
+
+
 def _as_text(df: DataFrame) -> DataFrame:
     shown = {name: F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in ("created_at", "updated_at")}
     return df.withColumns(shown).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
@@ -33,7 +35,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 def stored_and_batch(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     stored = warehouse.upsert(
-        None, orders.where(F.col("o_orderdate") <= F.lit(STORED_TO).cast("date")), "o_orderkey", FIRST_LOAD, unique=True
+        None, orders.where(F.col("o_orderdate") <= F.lit(STORED_TO).cast("date")), "o_orderkey", _at(FIRST_LOAD), unique=True
     )
     recent = orders.where(F.col("o_orderdate") >= F.lit(BATCH_FROM).cast("date"))
     first = recent.withColumns({"o_totalprice": F.col("o_totalprice") + 1, "copy_no": F.lit(1)})
@@ -54,7 +56,7 @@ _UPSERTED = (
 @register("W1_upsert", _UPSERTED)
 def w1(spark, sf_dir):
     stored, batch = stored_and_batch(spark, sf_dir)
-    return _as_text(warehouse.upsert(stored, batch, "o_orderkey", SECOND_LOAD, order=["copy_no"]))
+    return _as_text(warehouse.upsert(stored, batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]))
 
 
 @register("W1_upsert_stored_versions", _UPSERTED)
@@ -64,7 +66,7 @@ def w1_stored(spark, sf_dir):
     orders = storage.VersionedTable(spark, storage.shared_folder(spark, "orders"))
     orders.write(stored)
     for _ in range(2):
-        orders.write(warehouse.upsert(orders.read(), batch, "o_orderkey", SECOND_LOAD, order=["copy_no"]))
+        orders.write(warehouse.upsert(orders.read(), batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]))
     return _as_text(orders.read())
 
 
@@ -74,7 +76,7 @@ def w1_stored(spark, sf_dir):
 )
 def w2(spark, sf_dir):
     stored, batch = stored_and_batch(spark, sf_dir)
-    loaded = _as_text(warehouse.upsert(stored, batch, "o_orderkey", SECOND_LOAD, order=["copy_no"]))
+    loaded = _as_text(warehouse.upsert(stored, batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]))
     return loaded.groupBy("created_at", "updated_at").agg(F.count(F.lit(1)).alias("row_count"))
 
 
