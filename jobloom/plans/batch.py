@@ -54,12 +54,13 @@ def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time:
 
 def record_steps(spark: SparkSession, log_path: str, run_id: str, counts: dict[str, int]) -> None:
     """Append one row per step to the table of step row counts."""
-    steps = F.array(
-        *[
-            F.struct(F.lit(number).alias("step_no"), F.lit(name).alias("step"), F.lit(rows).cast("bigint").alias("row_count"))
-            for number, (name, rows) in enumerate(counts.items(), 1)
-        ]
-    )
+
+    def record(number: int, name: str, rows: int):
+        return F.struct(
+            F.lit(number).alias("step_no"), F.lit(name).alias("step"), F.lit(rows).cast("bigint").alias("row_count")
+        )
+
+    steps = F.array(*[record(number, *step) for number, step in enumerate(counts.items(), 1)])
     entry = spark.range(1).select(F.lit(run_id).alias("run_id"), F.inline(steps))
     entry.write.mode("append").parquet(log_path)
 

@@ -155,7 +155,8 @@ class VersionedTable:
         self._spark, self._base = spark, base.rstrip("/")
 
     def _pointer(self) -> tuple[int, str] | None:
-        log = open_if_present(lambda: self._spark.read.schema("version int, path string").parquet(f"{self._base}/_pointer_log"))
+        reader = self._spark.read.schema("version int, path string")
+        log = open_if_present(lambda: reader.parquet(f"{self._base}/_pointer_log"))
         if log is None:
             return None
         newest = log.agg(F.max(F.struct("version", "path")).alias("at")).first()["at"]

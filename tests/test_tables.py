@@ -133,6 +133,8 @@ def test_skill_ids_stay(spark):
     jobs = spark.createDataFrame([("j1", "SQL, rust,sql,  , cobol"), ("j2", None)], "job_id string, skills string")
     links = warehouse.link_job_skills(jobs, more)
     assert sorted(map(tuple, links.collect())) == [("j1", 5), ("j1", 8)]
+    for made, declared in ((more, schemas.WAREHOUSE_SKILLS), (links, schemas.WAREHOUSE_LINKS)):
+        assert made.dtypes == spark.createDataFrame([], declared).dtypes
     assert warehouse.prune_orphans(links, jobs.where("job_id = 'j2'"), more).count() == 0
     assert warehouse.prune_orphans(links, jobs, more.where("skill_name = 'sql'")).count() == 1
 

@@ -159,7 +159,6 @@ def c11(spark, sf_dir):
 
 # ---- the whole chain ----------------------------------------------------------
 
-_TEXT = "(description || ' ' || tags)"
 _CHAIN = f"""
  stripped as (select * replace ({q.strip_html('html_text')} as html_text) from
    (select * rename (description as html_text) from page_postings)),
