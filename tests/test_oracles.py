@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.compare import connect, difference
+from workload import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -22,12 +23,12 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    frame = queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not [bad for bad in UNWANTED if bad in plan]
-    problem = difference(frame, db, oracle_sql()[name])
+    problem = difference(frame, db, ORACLES[name])
     spark.catalog.clearCache()
     assert problem is None, problem
 
