@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import packing
+from jobloom.llm import mixing, packing, quality_rules, sharding, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,3 +37,29 @@ def word_tokenizer() -> str:
 @register("op7_cost_packing")
 def cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@register("op4_token_counts")
+def linear_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = token_counts.sentence_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces)
+
+
+@register("op5_efraimidis_spirakis_mix")
+def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("row")
+
+
+@register("op6_hilbert_shards")
+def curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.hilbert_shards(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+@register("op10_robust_outliers")
+def robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
