@@ -35,7 +35,7 @@ KEPT_SHARE = 0.75  # of a group's rows that a concentration step keeps
 STEPS = 2
 TAIL = 1e-7  # chance that a Gaussian row is rejected
 LEAST_ROWS = 60
-FLOORS = {"length": 0.12, "symbols": 0.12, "capitals": 0.10}  # least standard deviations
+FLOORS = {"length": 0.04, "symbols": 0.05, "capitals": 0.04}  # least standard deviations
 VECTOR = tuple(FLOORS)
 PAIRS = list(combinations_with_replacement(range(len(VECTOR)), 2))
 
