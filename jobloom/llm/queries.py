@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import mixing, packing, quality_rules, sharding, token_counts
+from jobloom.llm import mixing, packing, quality_rules, sharding, token_counts, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +63,22 @@ def curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_robust_outliers")
 def robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+
+
+_TOP_K = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 50 = 0
+)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+from scored qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+"""
+
+
+@register("op3_va_file_top_k", _TOP_K)
+def va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
