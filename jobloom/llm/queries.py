@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import mixing, packing, quality_rules, sharding, token_counts, vector_search
+from jobloom.llm import mixing, packing, quality_rules, rule_ensemble, sharding, token_counts, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +82,10 @@ from scored qualify row_number() over (partition by query_id order by score desc
 @register("op3_va_file_top_k", _TOP_K)
 def va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op8_rule_ensemble")
+def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    scored = rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
