@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import mixing, packing, quality_rules, rule_ensemble, sharding, token_counts, vector_search
+from jobloom.llm import mixing, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,3 +89,29 @@ def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     scored = rule_ensemble.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+_SUBSTRING = """
+with words as materialized (
+  select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents
+), starts as (
+  select r, unnest(range(1, len(w) - 33)) as s, w from words where len(w) >= 35
+), marks as (
+  select r, s, array_to_string(w[s:s + 34], ' ') as mark from starts
+), again as (
+  select r, s from marks qualify count(*) over (partition by mark) > 1
+), gone as (
+  select distinct r, unnest(range(s, s + 35)) as place from again
+), places as (
+  select r, list(place) as gone from gone group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(len(gone), 0)::bigint as n_removed,
+  sha256(array_to_string(case when gone is null then w else list_filter(w, lambda x, i: not list_contains(gone, i)) end, ' ')) as kept_sha256
+from words left join places using (r)
+"""
+
+
+@register("op1_fixed_block_substrings", _SUBSTRING)
+def fixed_block_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
