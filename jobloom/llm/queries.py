@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import mixing, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
+from jobloom.llm import mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,3 +115,32 @@ from words left join places using (r)
 def fixed_block_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.cut_repeats(table(spark, sf_dir, "documents"))
     return cut.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_NEAR = """
+with recursive words as materialized (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w from documents
+), shingles as materialized (
+  select distinct doc_id, case when len(w) < 5 then array_to_string(w, ' ') else array_to_string(w[s:s + 4], ' ') end as shingle
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as s from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b using (shingle) where a.doc_id <> b.doc_id group by all
+), links as materialized (
+  select a, b, p.n = c and q.n = c as equal from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 9 * c >= 4 * (p.n + q.n)
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select reach.doc_id, links.b from reach join links on links.a = reach.other
+)
+select doc_id, (select min(other) from reach r where r.doc_id = d.doc_id) as class_id,
+  least(doc_id, coalesce((select min(b) from links where a = doc_id and equal), doc_id)) as copy_of,
+  (select count(*) from links where a = doc_id) as n_links
+from documents d
+"""
+
+
+@register("op9_minhash_forest_join", _NEAR)
+def minhash_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.join(table(spark, sf_dir, "documents")).drop("row", "first")
