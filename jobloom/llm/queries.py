@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
+from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,3 +144,12 @@ from documents d
 @register("op9_minhash_forest_join", _NEAR)
 def minhash_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.join(table(spark, sf_dir, "documents")).drop("row", "first")
+
+
+@register("op2_katz_scores")
+def katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    scored = katz.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

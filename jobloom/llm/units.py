@@ -9,9 +9,12 @@ plans that read them again share that exchange.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 UNIT_BYTES = 16 << 20
 LEAST_UNITS = 64
@@ -24,9 +27,24 @@ def number_of_units(docs: DataFrame, text: str = "text", unit_bytes: int = UNIT_
     return max(-(-total // unit_bytes), LEAST_UNITS, partitions)
 
 
-def dealt(docs: DataFrame, units: int, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(unit, row, text): documents by a hash of id and text, so that reruns deal alike."""
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go when each write ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def dealt(
+    docs: DataFrame, units: int, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = (), more: dict[str, Column] | None = None
+) -> DataFrame:
+    """(unit, row, text, more...): documents by a hash of id and text, so that reruns deal alike."""
     rows = docs.select(
+        *[column.alias(name) for name, column in (more or {}).items()],
         F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(units)).cast("int").alias("unit"),
         F.struct(F.col(key).alias("doc_id"), *[F.col(name) for name in carry if name not in (key, text)]).alias("row"),
         F.col(text).alias("text"),
@@ -34,13 +52,13 @@ def dealt(docs: DataFrame, units: int, text: str = "text", key: str = "doc_id",
     return rows.repartition(units, "unit")
 
 
-def packed(hashes: np.ndarray) -> bytes:
-    """Sorted hashes byte plane by byte plane: the upper planes hardly change and compress away."""
-    return hashes.view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed(values: np.ndarray) -> bytes:
+    """Eight-byte values plane by plane: of sorted hashes and small numbers, the upper planes compress away."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def unpacked(payload: bytes) -> np.ndarray:
-    return np.frombuffer(payload, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel()
+def unpacked(payload: bytes, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(payload, np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
 
 
 def by_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
