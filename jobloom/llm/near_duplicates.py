@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobloom.llm.components import connected
 from jobloom.llm.textkit import Words, mix, mixed, ragged, slices, windows
+from jobloom.llm.units import tidy
 from jobloom.sources.storage import shared_folder
 
 SHINGLE = 5
@@ -212,7 +213,8 @@ def join(
 
     def written(df: DataFrame, purpose: str) -> DataFrame:
         path = shared_folder(spark, purpose)
-        df.write.parquet(path)
+        with tidy(spark):
+            df.write.parquet(path)
         return spark.read.parquet(path)
 
     rows = docs.select(
