@@ -17,10 +17,9 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
