@@ -101,7 +101,7 @@ def answers(units: np.ndarray, hashes: np.ndarray) -> pa.Table:
     order = np.argsort(units, kind="stable")
     units, hashes = units[order], hashes[order]
     names, first = np.unique(units, return_index=True)
-    ends = np.append(first[1:], len(units))
+    ends = np.append(first, len(units))[1:]
     payload = [packed(hashes[a:b]) for a, b in zip(first, ends, strict=True)]
     return pa.table({"unit": pa.array(names, pa.int32()), "payload": pa.array(payload, pa.binary())})
 
