@@ -166,10 +166,10 @@ def _verify(threshold: tuple[int, int]):
     """Links of the classes in one task: whole groups, or two blocks of a group."""
     part, whole = threshold
 
-    def compare(sets, names, copies, side) -> list[tuple[int, int, int]]:
-        first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        cross = len(second) > 0
-        left, right = first, second if cross else first
+    def compare(sets, names, copies, side, cross) -> list[tuple[int, int, int]]:
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == int(cross))
+        if not len(left) or not len(right):
+            return []
         common = _common([sets[i] for i in left], [sets[i] for i in right])
         size = np.array([len(s) for s in sets])
         # common / (a + b - common) >= part / whole, in whole numbers
@@ -186,7 +186,8 @@ def _verify(threshold: tuple[int, int]):
         return list(zip(names[linked].tolist(), (links @ copies[linked]).tolist(), least.tolist(), strict=True))
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        group = rows["group"].to_numpy()
+        task, group = key[0].as_py(), rows["group"].to_numpy()
+        cross = task["j"] >= 0 and task["i"] != task["j"]
         order = np.argsort(group, kind="stable")
         names, copies, side = (rows[n].to_numpy()[order] for n in ("class", "copies", "side"))
         payload = rows["set"].to_pylist()
@@ -194,7 +195,7 @@ def _verify(threshold: tuple[int, int]):
         out, at = [], 0
         for end in ends.tolist():
             sets = [np.frombuffer(payload[i], np.uint64) for i in order[at:end]]
-            out += compare(sets, names[at:end], copies[at:end], side[at:end])
+            out += compare(sets, names[at:end], copies[at:end], side[at:end], cross)
             at = end
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("class", "links", "least"), columns, strict=True)})
