@@ -19,8 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 2 << 20
 _STEP = 1 << 20
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _VALUES = np.random.default_rng(20_240_611).integers(0, 2**64, 256, np.uint64)
@@ -76,7 +76,7 @@ class Words:
         offsets = np.frombuffer(places, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         self.data = np.frombuffer(values, np.uint8)[offsets[0] : offsets[-1]] if values else np.zeros(0, np.uint8)
         self.offsets = offsets - offsets[0]
-        gap = _SPACE[self.data]
+        gap = SPACE[self.data]
         edge = np.zeros(len(gap) + 1, bool)
         edge[self.offsets] = True
         before, after = edge[:-1].copy(), edge[1:].copy()

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from jobloom.llm.textkit import Words, ragged
+from jobloom.llm.textkit import SPACE, Words, ragged
 
 # Byte classes of the split before encoding: letters run on, digits stand alone, other signs run on.
 _OTHER, _LETTER, _DIGIT = 0, 1, 2
@@ -33,7 +33,7 @@ class Encoder:
 
     The tokenizer never joins across blanks, so a text's ids are its words' ids in
     order. Plain words (ASCII and Latin-1 letters, digits, signs other than an
-    apostrophe) are cut into runs of letters, single digits and runs of signs as the
+    apostrophe or a control sign) are cut into runs of letters, single digits and runs of signs as the
     tokenizer cuts them; each distinct run meets the model once. All other words
     go to the tokenizer whole. `kept` bounds the runs remembered between slices.
     """
@@ -68,11 +68,13 @@ class Encoder:
         """(ids of all texts in order, first id of each text and the end)."""
         words = Words(texts)
         data, kind = words.data, _CLASS[words.data]
-        # Words that need the whole tokenizer: an apostrophe, an opening "<|", or a sign beyond Latin-1 letters.
+        # Words that need the whole tokenizer: an apostrophe, an opening "<|", a control sign, or one beyond Latin-1 letters.
         after = np.append(data[1:], 0)
         lead = (data == 0xC3) & (after != 0x97) & (after != 0xB7)
         odd = (data == 0x27) | ((data == 0x3C) & (after == 0x7C))
         odd |= (data >= 0x80) & ~(lead | np.append(False, lead[:-1]))
+        odd |= (data < 0x20) | (data == 0x7F)
+        odd &= ~SPACE[data]
         hard = np.zeros(len(words), bool)
         hard[np.searchsorted(words.begin, np.flatnonzero(odd), "right") - 1] = True
         # Pieces: cut where the class changes and before and after each digit, but not inside hard words.
