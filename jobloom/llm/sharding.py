@@ -18,6 +18,7 @@ carried in a struct, so their names clash with nothing.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -84,7 +85,9 @@ def curve_index(rows: DataFrame, columns: dict[str, Column], bits: int) -> Colum
     found = rows.agg(*[F.percentile_approx(code, shares).alias(name) for name, code in codes.items()]).first()
     cell = F.lit(0)
     for name, code in codes.items():
-        above = [(code > F.lit(bound)).cast("int") for bound in sorted(set(found[name] or []))]
+        # A value that fills several quantiles takes as many cells: the next one lies that far away.
+        times = Counter(found[name] or [])
+        above = [(code > F.lit(bound)).cast("int") * n for bound, n in sorted(times.items())]
         cell = cell * (1 << bits) + sum(above, F.lit(0))
     places = F.expr(f"array({','.join(map(str, curve_places(len(columns), bits)))})")
     return F.element_at(places, cell + 1)
