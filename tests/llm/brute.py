@@ -69,10 +69,9 @@ def targets(sizes, weights=(5, 2, 1), epochs=3):
     return out
 
 
-def greedy(word, pieces):
+def greedy(word, pieces, longest):
     """Tokens of a word by longest match; a byte without a piece is a token."""
     at = count = 0
-    longest = max(map(len, pieces), default=1)
     while at < len(word):
         step = next((n for n in range(min(longest, len(word) - at), 0, -1) if word[at : at + n] in pieces), 1)
         at, count = at + step, count + 1

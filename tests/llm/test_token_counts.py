@@ -19,7 +19,7 @@ def test_automaton_counts_like_greedy_matching(pieces, text, mark):
     automaton = token_counts.LongestMatch(pieces, mark)
     found = Words(pa.array([" ".join(text)]))
     counts = automaton.counts(found, np.arange(len(found)))
-    assert counts.tolist() == [greedy(mark + w.encode(), pieces) for w in text]
+    assert counts.tolist() == [greedy(mark + w.encode(), pieces, 6) for w in text]
 
 
 def pieces():
@@ -29,13 +29,13 @@ def pieces():
 
 
 def expected(rows, vocabulary):
-    memory = {}
+    memory, longest = {}, max(map(len, vocabulary))
     out = collections.Counter()
     for doc, text in rows:
         n = 0
         for word in words(text):
             if word not in memory:
-                memory[word] = greedy(token_counts.WORD_START + word, vocabulary)
+                memory[word] = greedy(token_counts.WORD_START + word, vocabulary, longest)
             n += memory[word]
         out[doc, len(words(text)), n] += 1
     return out
