@@ -1,8 +1,8 @@
-"""Command line: the daily batch, the dashboard as JSON lines, skills of a stored table.
+"""Command line: the daily batch, the dashboard as JSON lines per section, skills of a stored table.
 
     python -m jobloom batch --feed-a PATH --feed-b PATH --base PATH
     python -m jobloom dashboard --base PATH --out PATH [--location NAME ...] [--from DAY] [--to DAY]
-    python -m jobloom enrich --table PATH --out PATH
+    python -m jobloom enrich --table PATH [--out PATH] [--strip auto|yes|no]
 """
 
 from __future__ import annotations
@@ -10,40 +10,64 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from jobloom.operators.cleaning import enrich_table
 from jobloom.plans.batch import run_batch
-from jobloom.plans.dashboard import Dashboard, as_rows
+from jobloom.plans.dashboard import Sizes, dashboard, write_sections
 from jobloom.session import get_session
 from jobloom.sources import feeds, storage
 
 
 def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    """A feed that is not there is skipped; the run fails only if none is."""
-    frames = []
+    """A feed that is not there is skipped; the run fails only if none is.
+
+    The landed files are kept as they are; those that are no JSON are counted.
+    """
+    frames, corrupt, paths = [], 0, []
     for path, read, normalise in (
         (args.feed_a, feeds.read_feed_a, feeds.normalise_feed_a),
         (args.feed_b, feeds.read_feed_b, feeds.normalise_feed_b),
     ):
         landed = storage.open_if_present(lambda path=path, read=read: read(spark, path)) if path else None
         frames.append(None if landed is None else normalise(landed))
-    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-    for step, rows in run_batch(spark, frames, args.base, now).items():
+        if landed is not None:
+            corrupt += feeds.corrupt_payloads(landed).count()
+            paths.append(path)
+    payload = spark.read.text(paths, wholetext=True) if paths else None
+    if payload is not None:
+        payload = payload.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    now = datetime.now(timezone.utc).replace(microsecond=0)
+    for step, rows in run_batch(spark, frames, args.base, now, payload, corrupt=corrupt).items():
         print(f"{step}: {rows} rows")
 
 
 def _dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One folder per section; a single error record where there are no postings."""
     clean = storage.read_clean(spark, f"{args.base}/clean/parquet", f"{args.base}/clean/csv")
-    with Dashboard(clean, args.location, args.date_from, args.date_to) as board:
-        as_rows(board.sections).write.mode("overwrite").json(args.out)
+    sizes = Sizes(args.top, args.pairs, args.ranges, args.table)
+    with dashboard(clean, args.location, args.date_from, args.date_to, sizes=sizes) as parts:
+        write_sections(parts, args.out)
 
 
 def _enrich(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Written to a new place: a plan must not overwrite the table it reads."""
+    """Without `--out` the table itself is replaced, in its format.
+
+    A plan must not overwrite the table it reads, so the result is written aside
+    first and copied from there.
+    """
     as_csv = args.table.rstrip("/").endswith("csv")
-    stored = storage.read_clean(spark, None if as_csv else args.table, args.table if as_csv else None)
-    enrich_table(stored).write.mode("errorifexists").parquet(args.out)
+    stored = storage.read_clean(spark, None if as_csv else args.table, args.table if as_csv else None, required=True)
+    enriched = enrich_table(stored, strip={"auto": None, "yes": True, "no": False}[args.strip])
+    if args.out is None:
+        aside = storage.shared_folder(spark, "enriched")
+        enriched.write.parquet(aside)
+        enriched = spark.read.parquet(aside)
+    out = args.out or args.table
+    if as_csv:
+        storage.write_csv(enriched, out)
+    else:
+        enriched.write.mode("overwrite" if args.out is None else "errorifexists").parquet(out)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -60,10 +84,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     board.add_argument("--location", action="append", default=[])
     board.add_argument("--from", dest="date_from")
     board.add_argument("--to", dest="date_to")
+    for name, size in (("top", 12), ("pairs", 15), ("ranges", 15), ("table", 50)):
+        board.add_argument(f"--{name}", type=int, default=size, help=f"rows shown (default {size})")
     board.set_defaults(run=_dashboard)
     enrich = commands.add_parser("enrich")
     enrich.add_argument("--table", required=True)
-    enrich.add_argument("--out", required=True)
+    enrich.add_argument("--out")
+    enrich.add_argument("--strip", choices=("auto", "yes", "no"), default="auto", help="strip HTML (auto: if any row has a tag)")
     enrich.set_defaults(run=_enrich)
     args = parser.parse_args(argv)
     args.run(spark or get_session(), args)

@@ -32,7 +32,8 @@ def mentions_any(value: Column, words: tuple[str, ...]) -> Column:
     return reduce(or_, [lowered.contains(word) for word in words])
 
 
-def _finite(number: Column) -> Column:
+def finite(number: Column) -> Column:
+    """The number, or null for NaN and infinities."""
     return F.when(F.abs(number) < float("inf"), number)
 
 
@@ -41,13 +42,13 @@ def coerce_number(value: Column | str) -> Column:
     raw = as_col(value)
     # The shape test keeps out suffixes such as "12d" that a plain cast accepts.
     number_shape = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-    return _finite(F.when(raw.cast("string").rlike(number_shape), raw.try_cast("double")))
+    return finite(F.when(raw.cast("string").rlike(number_shape), raw.try_cast("double")))
 
 
 def number_column(df: DataFrame, name: str) -> Column:
     """`coerce_number` of a stored column; one that holds numbers needs no parsing."""
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return _finite(F.col(name).cast("double"))
+        return finite(F.col(name).cast("double"))
     return coerce_number(name)
 
 

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobloom.sources.storage import shared_folder
+
+_PLACE_BITS = 33  # of monotonically_increasing_id: the partition is above
+
 
 def dedupe_first(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -39,21 +43,22 @@ def dedupe_counts(df: DataFrame, key: str = "job_id") -> DataFrame:
     return totals.withColumn("dropped", F.col("rows_before") - F.col("rows_after"))
 
 
-def number_by_name(names: DataFrame, column: str, number: str, prefix_length: int = 3) -> DataFrame:
+def number_by_name(names: DataFrame, column: str, number: str) -> DataFrame:
     """Number distinct names 1..n in name order.
 
-    Names are numbered within their leading letters and moved up by the count of
-    all names in front of that prefix, so no task sees more than one prefix; only
-    the short table of prefix counts is summed up in one place.
+    The names are range-partitioned, sorted and written once with their place in
+    the partition; only a table with one row per partition is summed up in one task.
     """
-    marked = names.withColumn("_prefix", F.substring(column, 1, prefix_length))
-    sizes = marked.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_prefix")) - F.col("_n")
-    starts = sizes.select("_prefix", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_prefix").orderBy(column))
+    spark = names.sparkSession
+    path = shared_folder(spark, "names")
+    ordered = names.repartitionByRange(column).sortWithinPartitions(column)
+    ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_part", F.shiftright("_place", _PLACE_BITS))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    within = F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1) + 1
     return (
-        marked.withColumn("_within", within)
-        .join(starts, "_prefix")
-        .withColumn(number, F.col("_before") + F.col("_within"))
-        .drop("_prefix", "_within", "_before")
+        placed.join(sizes.select("_part", before.alias("_before")), "_part")
+        .withColumn(number, F.col("_before") + within)
+        .drop("_part", "_place", "_before")
     )

@@ -63,19 +63,33 @@ def search_locations(df: DataFrame, text: str) -> DataFrame:
     return location_options(df.where(F.lower("location").contains(text.lower())))
 
 
-def headline_metrics(df: DataFrame) -> DataFrame:
-    """Postings, companies, locations, mean skills per posting, postings with salary."""
+def headline_metrics(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Postings, companies, locations, mean skills per posting, postings with salary.
+
+    Distinct names are the rows of a facet: two distinct counts in one aggregate
+    would make Spark write every row three times. `counts` are facet counts
+    that exist already.
+    """
     has = set(df.columns)
-    mean_skills = F.round(F.avg("skill_count"), 1) if "skill_count" in has else F.lit(None).cast("double")
-    return df.agg(
+    mean_skills = F.round(F.avg("skill_count"), 1) if "skill_count" in has else F.lit(0.0)
+    paid = F.count(number_column(df, "salary_min")) if "salary_min" in has else F.lit(0).cast("bigint")
+    figures = df.agg(
         _rows().alias("total_jobs"),
-        F.count_distinct("company").alias("companies"),
-        F.count_distinct("location").alias("locations"),
         F.coalesce(mean_skills, F.lit(0.0)).alias("avg_skills"),
-        (F.count("salary_min") if "salary_min" in has else F.lit(0).cast("bigint")).alias("with_salary"),
+        paid.alias("with_salary"),
+    )
+    if counts is None:
+        counts = facet_counts(df, {"company": F.col("company"), "location": F.col("location")})
+    return figures.withColumn("n", distinct_names(counts, "company", "location")).select(
+        "total_jobs", F.col("n.company").alias("companies"), F.col("n.location").alias("locations"), "avg_skills", "with_salary"
     )
 
 
+def distinct_names(counts: DataFrame, *facets: str) -> Column:
+    """The number of names of each facet, as a scalar subquery."""
+    return counts.agg(F.struct(*[F.count_if(F.col("facet") == name).alias(name) for name in facets])).scalar()
+
+
 def top_values(df: DataFrame, column: str | Column, n: int | None = 12) -> DataFrame:
     """Most frequent non-null values as (name, count)."""
     value = as_col(column)

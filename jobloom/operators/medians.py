@@ -26,9 +26,9 @@ def _fine(value: Column, low: Column, high: Column) -> Column:
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Non-null numbers of several columns as rows (metric, value)."""
+    """Finite numbers of several columns as rows (metric, value)."""
     cells = [F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value")) for name in columns]
-    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.abs("value") < float("inf"))
 
 
 def _holding_middle(counted: DataFrame, order: list[str], start: Column) -> DataFrame:

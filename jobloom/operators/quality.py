@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from jobloom.functions.common import as_col
-from jobloom.operators.market import facet_counts
+from jobloom.functions.common import as_col, number_column
+from jobloom.operators.market import distinct_names, facet_counts
 
 
 def ingestion_summary(raw: DataFrame) -> DataFrame:
@@ -16,31 +16,35 @@ def ingestion_summary(raw: DataFrame) -> DataFrame:
     Distinct names are counted apart from the text minimum and maximum: together
     they would make Spark sort every task's rows instead of hashing them.
     """
-    names = facet_counts(raw, {"company": F.col("company"), "location": F.col("location")})
+    names = facet_counts(raw, {name: F.col(name) for name in ("company", "location", "source")})
+    of = lambda facet: F.col("facet") == facet
     distinct = names.agg(
         F.struct(
-            F.count_if(F.col("facet") == "company").alias("companies"),
-            F.count_if(F.col("facet") == "location").alias("locations"),
+            F.count_if(of("company")).alias("companies"),
+            F.count_if(of("location")).alias("locations"),
+            # One row per source is left here, whatever the table holds.
+            F.array_join(F.array_sort(F.collect_list(F.when(of("source"), F.col("name")))), ", ").alias("sources"),
         )
     ).scalar()
     totals = raw.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"),
         F.min("posted_date").alias("first_posted"),
         F.max("posted_date").alias("last_posted"),
     )
     return totals.withColumn("n", distinct).select(
-        "total_records", "sources", "n.companies", "n.locations", "first_posted", "last_posted"
+        "total_records", "n.sources", "n.companies", "n.locations", "first_posted", "last_posted"
     )
 
 
 def cleaning_summary(clean: DataFrame) -> DataFrame:
-    return clean.agg(
+    names = facet_counts(clean, {"company": F.col("company"), "location": F.col("location")})
+    totals = clean.agg(
         F.count(F.lit(1)).alias("records"),
-        F.count("salary_min").alias("with_salary"),
+        F.count(number_column(clean, "salary_min")).alias("with_salary"),
         F.count_if(F.col("skill_count") > 0).alias("with_skills"),
-        F.count_distinct("location").alias("locations"),
-        F.count_distinct("company").alias("companies"),
+    )
+    return totals.withColumn("n", distinct_names(names, "company", "location")).select(
+        "records", "with_salary", "with_skills", F.col("n.location").alias("locations"), F.col("n.company").alias("companies")
     )
 
 
@@ -55,8 +59,8 @@ def step_counters(clean: DataFrame) -> DataFrame:
         F.count_if(F.col("posted_date").isNull()).alias("bad_dates"),
         F.min("posted_date").alias("first_posted"),
         F.max("posted_date").alias("last_posted"),
-        F.count("salary_min").alias("with_salary"),
-        percent(F.count("salary_min")).alias("salary_percent"),
+        F.count(number_column(clean, "salary_min")).alias("with_salary"),
+        percent(F.count(number_column(clean, "salary_min"))).alias("salary_percent"),
         F.count_distinct("location").alias("locations"),
         percent(F.count_if("is_remote")).alias("remote_percent"),
     )

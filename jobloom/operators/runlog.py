@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.functions.common import as_col, text_or_empty
 
-_ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?$"
+# A day alone, or a day and a time with or without an offset.
+_ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 _ISO_ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
-MOST_RUNS = 20
 
 
 def moment(value: Column | str) -> Column:
-    """Timestamp of ISO text, UTC where it names no offset; malformed text is null."""
+    """Timestamp of ISO text, UTC where it names no offset; malformed text is null.
+
+    The session's zone never counts: a plain day is its first moment in UTC.
+    """
     text = as_col(value).cast("string")
-    has_time = F.length(text) > 10
-    zoned = F.when(has_time & ~text.rlike(_ISO_ZONE), F.concat(text, F.lit("Z"))).otherwise(text)
+    zoned = (
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(~text.rlike(_ISO_ZONE), F.concat(text, F.lit("Z")))
+        .otherwise(text)
+    )
     return F.when(text.rlike(_ISO_MOMENT), zoned.try_cast("timestamp"))
 
 
@@ -39,9 +45,11 @@ def run_state_summary(runs: DataFrame) -> DataFrame:
     return runs.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("runs")).orderBy(F.desc("runs"), "state")
 
 
-def recent_runs(runs: DataFrame, n: int = 5) -> DataFrame:
-    """The newest runs by start, at least 1 and at most 20, with their durations."""
-    n = max(1, min(MOST_RUNS, n))
+def recent_runs(runs: DataFrame, n: int = 5, most: int | None = None) -> DataFrame:
+    """The `n` newest runs by start with their durations; `most` is a limit a server may set."""
+    if n < 1:
+        raise ValueError(f"{n} runs cannot be shown")
+    n = n if most is None else min(most, n)
     # Parsed in a projection of its own, or the sort would parse at every comparison.
     timed = runs.withColumn("_started", moment("start_date"))
     newest = timed.orderBy(F.desc_nulls_last("_started"), "dag_run_id").limit(n)

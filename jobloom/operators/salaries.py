@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from jobloom.functions.common import dollars
+from jobloom.functions.common import dollars, finite
 from jobloom.operators.medians import long_values, spread
 
 SERIES = ["salary_min", "salary_max"]
 
 
 def with_salary(df: DataFrame) -> DataFrame:
+    """Postings with a minimum; NaN and infinities count as missing in either bound.
+
+    Spark holds NaN greater than any number, so the bounds are tested on both
+    sides; both tests reach the scan.
+    """
+    for name in SERIES:
+        if name in df.columns and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            whole = F.col(name) < float("inf")
+            df = df.where(whole) if name == "salary_min" else df.withColumn(name, finite(F.col(name)))
     return df.where(F.col("salary_min") > 0)
 
 
@@ -145,14 +154,17 @@ def _highest(df: DataFrame, n: int | None, key: str) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
-def salary_ranges(df: DataFrame, n: int = 15, key: str = "job_id") -> DataFrame:
+def salary_ranges(df: DataFrame, n: int = 15, key: str = "job_id", keep_key: bool = False) -> DataFrame:
     """The `n` postings with both bounds and the highest minimum, shown ascending."""
     both = with_salary(df).where(F.col("salary_max").isNotNull())
     label = F.concat(F.substring("title", 1, 28), F.lit(" — "), F.substring("company", 1, 12))
     return (
         _highest(both, n, key)
         .orderBy("salary_min", key)
-        .select(label.alias("label"), F.col("salary_min").alias("min"), F.col("salary_max").alias("max"))
+        .select(
+            *([F.col(key).alias("job_id")] if keep_key else []),
+            label.alias("label"), F.col("salary_min").alias("min"), F.col("salary_max").alias("max"),
+        )
     )
 
 
@@ -176,7 +188,8 @@ def range_bars(df: DataFrame, n: int = 15, key: str = "job_id") -> DataFrame:
     )
 
 
-def salary_table(df: DataFrame, n: int | None = 50, key: str = "job_id") -> DataFrame:
+def salary_table(df: DataFrame, n: int | None = 50, key: str = "job_id", keep_key: bool = False) -> DataFrame:
     """Postings with the highest minimum salary; `n=None` gives all of them."""
-    columns = [c for c in ("title", "company", "location", "salary", *SERIES) if c in df.columns]
+    columns = [key] if keep_key else []
+    columns += [c for c in ("title", "company", "location", "salary", *SERIES) if c in df.columns]
     return _highest(with_salary(df), n, key).select(*columns)

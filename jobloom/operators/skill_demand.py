@@ -6,18 +6,21 @@ text) or long rows (job_id, skill).
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.functions.common import as_col, title_case
 from jobloom.functions.skills import split_skills
 
-DISPLAY_MIN, DISPLAY_MAX, DISPLAY_DEFAULT = 5, 40, 20
+DISPLAY_DEFAULT = 20
 
 
 def skill_array(postings: DataFrame, column: str = "skills") -> Column:
-    """Lower-cased skills of each posting, stored as array or as text."""
+    """Lower-cased skills of each posting, stored as array or as text; nulls and blanks are none."""
     if postings.schema[column].dataType.typeName() == "array":
-        return F.transform(column, lambda skill: F.lower(F.trim(skill)))
+        named = F.transform(column, lambda skill: F.lower(F.trim(skill)))
+        return F.filter(named, lambda skill: F.coalesce(skill, F.lit("")) != "")
     return split_skills(column)
 
 
@@ -36,7 +39,7 @@ def skill_sets(pairs: DataFrame) -> DataFrame:
 
 
 def _demand(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("skill").agg(F.count(F.lit(1)).alias("demand"))
+    return pairs.where(F.trim("skill") != "").groupBy("skill").agg(F.count(F.lit(1)).alias("demand"))
 
 
 def skill_rankings(pairs: DataFrame) -> DataFrame:
@@ -50,11 +53,12 @@ def label_rankings(demand: DataFrame) -> DataFrame:
 
 
 def ranked_top_n(pairs: DataFrame, n: int = DISPLAY_DEFAULT) -> DataFrame:
-    """The `n` (5 to 40) skills in highest demand with their 1-based position.
+    """The `n` skills in highest demand with their 1-based position.
 
-    The limit comes first, so the positions are given to at most 40 rows.
+    The limit comes first, so the positions are given to at most `n` rows.
     """
-    n = max(DISPLAY_MIN, min(DISPLAY_MAX, n))
+    if n < 1:
+        raise ValueError(f"{n} skills cannot be ranked")
     top = _demand(pairs).orderBy(F.desc("demand"), "skill").limit(n)
     position = F.row_number().over(Window.orderBy(F.desc("demand"), "skill"))
     return top.select(position.alias("position"), title_case("skill").alias("skill"), "demand")
@@ -83,15 +87,21 @@ def unordered_pairs(skills: Column | str) -> Column:
     return F.flatten(F.transform(names, with_later))
 
 
-def skill_cooccurrence(postings: DataFrame, n: int | None = 15, column: str = "skills") -> DataFrame:
+def skill_cooccurrence(
+    postings: DataFrame, n: int | None = 15, column: str = "skills", dictionary: Iterable[str] | None = None
+) -> DataFrame:
     """How many postings name both skills of a pair, most frequent pairs first.
 
     Pairs are made inside the row of one posting, whose skills come from a
     dictionary, and counted before the shuffle: what travels is at most one row
-    per pair of dictionary terms and task, however many postings there are.
+    per pair of dictionary terms and task, however many postings there are. Where
+    skills are free tags, give the `dictionary` of those that are to be paired.
     """
+    skills = skill_array(postings, column)
+    if dictionary is not None:
+        skills = F.array_intersect(skills, F.array(*[F.lit(term.lower()) for term in dictionary]).cast("array<string>"))
     # A projection of its own keeps the prepared array from being built once per use.
-    sets = postings.select(F.array_sort(F.array_distinct(skill_array(postings, column))).alias("skills"))
+    sets = postings.select(F.array_sort(F.array_distinct(skills)).alias("skills"))
     counted = (
         sets.where(F.size("skills") > 1)
         .select(F.explode(unordered_pairs("skills")).alias("pair"))

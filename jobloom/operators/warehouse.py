@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -12,13 +10,15 @@ from jobloom import schemas
 from jobloom.functions.common import number_column
 from jobloom.functions.skills import split_skills
 from jobloom.operators.keyed import dedupe_last, number_by_name
+from jobloom.sources.storage import shared_folder
 
 
-def to_warehouse_types(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+def to_warehouse_types(clean: DataFrame, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Clean postings as (accepted, rejected) rows in warehouse types.
 
     Rejected are rows a constraint of the table would refuse: no key or title,
-    a text longer than its column, or a salary beyond NUMERIC(12, 2).
+    a text longer than its column, or a salary beyond NUMERIC(12, 2); `reason`
+    names the first column at fault. Accepted rows keep the columns in `carry`.
     """
     source = clean if "salary_raw" in clean.columns else clean.withColumnRenamed("salary", "salary_raw")
     source = source.withColumns(
@@ -35,18 +35,27 @@ def to_warehouse_types(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
             column = column.try_cast(field.dataType)
         return column.alias(field.name)
 
-    limits = [
-        F.coalesce(F.length(F.col(name).cast("string")) <= limit, F.lit(True))
-        for name, limit in schemas.WAREHOUSE_TEXT_LIMITS.items()
-        if limit
-    ]
-    in_range = [
-        number.isNull() | number.try_cast("decimal(12,2)").isNotNull()
-        for number in (number_column(source, name) for name in ("salary_min", "salary_max"))
-    ]
-    fits = reduce(and_, [F.col("job_id").isNotNull(), F.col("title").isNotNull(), *limits, *in_range])
-    accepted = source.where(fits).select(*[typed(field) for field in schemas.WAREHOUSE_JOBS])
-    return accepted, source.where(~fits)
+    faults = {name: F.col(name).isNull() for name in ("job_id", "title")}
+    for name, limit in schemas.WAREHOUSE_TEXT_LIMITS.items():
+        if limit:
+            too_long = F.coalesce(F.length(F.col(name).cast("string")) > limit, F.lit(False))
+            faults[name] = faults[name] | too_long if name in faults else too_long
+    for name in ("salary_min", "salary_max"):
+        number = number_column(source, name)
+        faults[name] = number.isNotNull() & number.try_cast("decimal(12,2)").isNull()
+    reason = F.coalesce(*[F.when(fault, F.lit(name)) for name, fault in faults.items()])
+    judged = source.withColumn("reason", reason)
+    accepted = judged.where(F.col("reason").isNull()).select(*[typed(field) for field in schemas.WAREHOUSE_JOBS], *carry)
+    return accepted, judged.where(F.col("reason").isNotNull())
+
+
+def _moment(batch_time: datetime | Column) -> Column:
+    """The instant of a batch: a datetime has to name its offset, or the driver's zone would decide."""
+    if isinstance(batch_time, Column):
+        return batch_time.cast("timestamp")
+    if batch_time.tzinfo is None:
+        raise ValueError("the batch time has to name its offset")
+    return F.lit(batch_time.isoformat()).cast("timestamp")
 
 
 def upsert(
@@ -61,29 +70,41 @@ def upsert(
 
     `created_at` stays as first seen, `updated_at` is the batch time of the last
     change. If the batch itself repeats a key, the last row in `order` counts;
-    `unique=True` says that it does not, which saves a shuffle.
+    `unique=True` says that it does not, which saves a shuffle. Null is a key
+    like any other. Columns only one side has are kept, null where a row lacks them.
 
-    The target meets only the keys of the batch: while Spark finds those small
-    enough to broadcast, target rows are filtered where they lie, and they are
-    never sorted through a window.
+    The batch without repeats is written once to the shared folder. The target
+    meets only its keys: while Spark finds those small enough to broadcast, target
+    rows are filtered where they lie, and they are never sorted through a window.
     """
-    now = (batch_time if isinstance(batch_time, Column) else F.lit(batch_time)).cast("timestamp")
+    now = _moment(batch_time)
     fresh = batch
     if not unique:
         fresh = dedupe_last(batch, key, order) if order else batch.dropDuplicates([key])
     if target is None:
         return fresh.withColumns({"created_at": now, "updated_at": now})
-    kept = target.join(fresh.select(key), key, "left_anti")
-    known = target.select(key, "created_at").join(fresh.select(key), key, "left_semi")
-    changed = fresh.join(known, key, "left").withColumns(
-        {"created_at": F.coalesce("created_at", now), "updated_at": now}
+    if not unique:
+        path = shared_folder(batch.sparkSession, "batch")
+        fresh.write.parquet(path)
+        fresh = batch.sparkSession.read.parquet(path)
+    keys = fresh.select(F.col(key).alias("_key"))
+    kept = target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    known = target.select(F.col(key).alias("_key"), F.col("created_at").alias("_created")).join(
+        keys.withColumnRenamed("_key", "_new"), F.col("_key").eqNullSafe(F.col("_new")), "left_semi"
+    )
+    changed = (
+        fresh.drop("created_at", "updated_at")
+        .join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+        .withColumns({"created_at": F.coalesce("_created", now), "updated_at": now})
+        .drop("_key", "_created")
     )
-    return kept.unionByName(changed.select(*target.columns))
+    return kept.unionByName(changed, allowMissingColumns=True)
 
 
 def skill_names(postings: DataFrame, column: str = "skills") -> DataFrame:
-    """Distinct lower-cased skill names of a table."""
-    return postings.select(F.explode(split_skills(column)).alias("skill_name")).distinct()
+    """Distinct lower-cased skill names of a table, without those too long for theirs."""
+    names = postings.select(F.explode(split_skills(column)).alias("skill_name")).distinct()
+    return names.where(F.length("skill_name") <= schemas.SKILL_NAME_LIMIT)
 
 
 def upsert_skill_dim(dim: DataFrame | None, names: DataFrame) -> DataFrame:
@@ -102,20 +123,27 @@ def upsert_skill_dim(dim: DataFrame | None, names: DataFrame) -> DataFrame:
     )
 
 
-def link_skills(pairs: DataFrame, dim: DataFrame) -> DataFrame:
+def link_skills(pairs: DataFrame, dim: DataFrame, unique: bool = False) -> DataFrame:
     """(job_id, skill_id) of (job_id, skill) rows whose skill is known, each once.
 
     Repeats go before the join, so a skill that most postings name is matched on
-    as few rows as possible. The join carries no hint: Spark broadcasts the
-    dimension while it is small and splits skewed partitions when it is not.
+    as few rows as possible; `unique=True` says that there are none. The join
+    carries no hint: Spark broadcasts the dimension while it is small and splits
+    skewed partitions when it is not.
     """
-    unique = pairs.select("job_id", F.lower(F.trim("skill")).alias("skill_name")).distinct()
-    return unique.join(dim, "skill_name").select("job_id", "skill_id")
+    named = pairs.select("job_id", F.lower(F.trim("skill")).alias("skill_name"))
+    return (named if unique else named.distinct()).join(dim, "skill_name").select("job_id", "skill_id")
 
 
-def link_job_skills(jobs: DataFrame, dim: DataFrame, column: str = "skills") -> DataFrame:
+def link_job_skills(jobs: DataFrame, dim: DataFrame, column: str = "skills", unique: bool = False) -> DataFrame:
+    """Links of postings with a `skills` column; `unique=True`: every posting comes once."""
     pairs = jobs.select("job_id", F.explode(F.array_distinct(split_skills(column))).alias("skill"))
-    return link_skills(pairs, dim)
+    return link_skills(pairs, dim, unique)
+
+
+def new_links(links: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Those of the links found (each once) that are not stored yet."""
+    return found if links is None else found.join(links, ["job_id", "skill_id"], "left_anti")
 
 
 def merge_links(links: DataFrame | None, new: DataFrame) -> DataFrame:

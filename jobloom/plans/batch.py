@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,22 +34,45 @@ def clean(spark: SparkSession, raw_base: str, clean_base: str, dictionary: tuple
 
 
 def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time: datetime) -> int:
-    """Upsert the clean postings, their skills and links; the number of postings loaded.
+    """Upsert the accepted postings, their skills and links; the number of postings loaded.
 
-    Postings the warehouse constraints refuse go to `rejected`, one folder per batch.
+    Postings the warehouse constraints refuse go to `rejected`, one folder per
+    batch, with the reason; they bring no skills. The accepted rows are written
+    once, and keys, skills and links all come from there. New links are appended
+    in a folder per batch, so stored ones are never rewritten; loading a batch
+    again replaces its folder.
     """
     stored = storage.read_clean(spark, f"{clean_base}/parquet", f"{clean_base}/csv")
-    accepted, rejected = warehouse.to_warehouse_types(stored)
-    jobs, skills, links = (
-        storage.VersionedTable(spark, f"{warehouse_base}/{name}") for name in ("jobs", "skills", "job_skills")
-    )
-    all_jobs = jobs.write(warehouse.upsert(jobs.read(), accepted, "job_id", batch_time, unique=True))
-    stamp = batch_time.strftime("%Y%m%dT%H%M%S")
+    passed, rejected = warehouse.to_warehouse_types(stored, carry=("skills",))
+    stamp = batch_time.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S")
     rejected.write.mode("overwrite").parquet(f"{warehouse_base}/rejected/batch={stamp}")
-    dim = skills.write(warehouse.upsert_skill_dim(skills.read(), warehouse.skill_names(stored)))
-    new_links = warehouse.link_job_skills(stored, dim)
-    links.write(warehouse.prune_orphans(warehouse.merge_links(links.read(), new_links), all_jobs, dim))
-    return stored.count()
+    watched, watch = quality.observed(passed, "load")
+    path = storage.shared_folder(spark, "accepted")
+    watched.write.parquet(path)
+    accepted = spark.read.parquet(path)
+    jobs, skills = (storage.VersionedTable(spark, f"{warehouse_base}/{name}") for name in ("jobs", "skills"))
+    jobs.write(warehouse.upsert(jobs.read(), accepted.drop("skills"), "job_id", batch_time, unique=True))
+    dim = skills.write(warehouse.upsert_skill_dim(skills.read(), warehouse.skill_names(accepted)))
+    found = warehouse.link_job_skills(accepted, dim, unique=True)
+    links = storage.open_if_present(lambda: spark.read.parquet(f"{warehouse_base}/job_skills"))
+    if links is not None:
+        links = links.where(F.col("batch") != stamp).select("job_id", "skill_id")
+    warehouse.new_links(links, found).write.mode("overwrite").parquet(f"{warehouse_base}/job_skills/batch={stamp}")
+    return watch.get["row_count"]
+
+
+def summarise(spark: SparkSession, base: str, run_id: str) -> None:
+    """The summaries of the stored raw and clean tables, one appended row per run and summary."""
+    raw = storage.read_raw(spark, f"{base}/raw/parquet", f"{base}/raw/csv")
+    cleaned = storage.read_clean(spark, f"{base}/clean/parquet", f"{base}/clean/csv")
+    parts = {
+        "ingestion": quality.ingestion_summary(raw),
+        "cleaning": quality.cleaning_summary(cleaned),
+        "steps": quality.step_counters(cleaned),
+        "skills": quality.skill_stats(cleaned),
+    }
+    for name, part in parts.items():
+        part.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{base}/summaries/{name}")
 
 
 def record_steps(spark: SparkSession, log_path: str, run_id: str, counts: dict[str, int]) -> None:
@@ -72,20 +95,29 @@ def run_batch(
     batch_time: datetime,
     payload: DataFrame | None = None,
     dictionary: tuple[str, ...] = TECH_SKILLS,
+    corrupt: int | None = None,
 ) -> dict[str, int]:
-    """All steps in order; stops with `EmptyStep` when a step gives no rows."""
+    """All steps in order; stops with `EmptyStep` when a step gives no rows.
+
+    `corrupt` is the number of landed files that could not be parsed; it is
+    recorded among the step counts. The summaries are stored once all steps ran.
+    """
     steps = {
         "extract": lambda: ingest(feed_frames, f"{base}/raw", payload),
         "transform": lambda: clean(spark, f"{base}/raw", f"{base}/clean", dictionary),
         "load": lambda: load(spark, f"{base}/clean", f"{base}/warehouse", batch_time),
     }
     counts: dict[str, int] = {}
+    run_id = batch_time.isoformat()
     try:
+        if corrupt is not None:
+            counts["corrupt_payloads"] = corrupt
         for name, step in steps.items():
             counts[name] = step()
             if not counts[name]:
                 raise EmptyStep(name)
     finally:
         if counts:
-            record_steps(spark, f"{base}/step_counts", batch_time.isoformat(), counts)
+            record_steps(spark, f"{base}/step_counts", run_id, counts)
+    summarise(spark, base, run_id)
     return counts

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.operators import market, salaries, skill_demand
 
@@ -14,7 +16,6 @@ COLUMNS = (
     "job_id", "title", "company", "location", "posted_date", "work_mode",
     "salary_min", "salary_max", "skills", "skill_count",
 )
-TOP = 12
 NO_DATA = "No data available. Run the ingestion and cleaning first."
 
 
@@ -33,55 +34,74 @@ def _facets(postings: DataFrame) -> DataFrame:
     return market.facet_counts(moded, facets)
 
 
-def _metrics(postings: DataFrame, counts: DataFrame) -> DataFrame:
-    """Headline figures: distinct names are the rows of a facet, so no distinct count runs."""
-    has = set(postings.columns)
-    mean_skills = F.round(F.avg("skill_count"), 1) if "skill_count" in has else F.lit(0.0)
-    figures = postings.agg(
-        F.count(F.lit(1)).alias("total_jobs"),
-        F.coalesce(mean_skills, F.lit(0.0)).alias("avg_skills"),
-        (F.count("salary_min") if "salary_min" in has else F.lit(0).cast("bigint")).alias("with_salary"),
-    )
-    distinct = counts.agg(
-        F.struct(
-            F.count_if(F.col("facet") == "company").alias("companies"),
-            F.count_if(F.col("facet") == "location").alias("locations"),
-        ).alias("n")
-    )
-    return figures.withColumn("n", distinct.scalar()).select(
-        "total_jobs", "n.companies", "n.locations", "avg_skills", "with_salary"
-    )
-
-
-def sections(postings: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
-    """All sections of prepared, filtered postings and their facet counts; all lazy."""
+@dataclass(frozen=True)
+class Sizes:
+    """How many rows the ranked sections show."""
+
+    top: int = 12
+    pairs: int | None = 15
+    ranges: int = 15
+    table: int | None = 50
+    bins: int = 12
+
+
+# What each section is ordered by; the rest decides nothing or is one row.
+_BY_COUNT = (("count", True), ("name", False))
+ORDER = {
+    "filter_options": (("option", False),),
+    "top_locations": _BY_COUNT,
+    "top_companies": _BY_COUNT,
+    "remote_locations": _BY_COUNT,
+    "timeline": (("date", False),),
+    "work_mode_split": (("count", True), ("mode", False)),
+    "skill_rankings": (("demand", True), ("skill", False)),
+    "skill_cooccurrence": (("count", True), ("pair", False)),
+    "salary_histogram": (("bin", False),),
+    "salary_ranges": (("min", False), ("job_id", False)),
+    "salary_table": (("salary_min", True), ("job_id", False)),
+}
+
+
+def sections(postings: DataFrame, counts: DataFrame, sizes: Sizes = Sizes(), options: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All sections of prepared, filtered postings and their facet counts; all lazy.
+
+    `options` are the rows of the filter that was offered, if they are to be shown.
+    """
     days = counts.where(F.col("facet") == "day")
     modes = market.facet(counts, "mode").withColumnRenamed("name", "mode")
-    parts = {
-        "metrics": _metrics(postings, counts),
-        "top_locations": market.facet(counts, "location", TOP),
-        "top_companies": market.facet(counts, "company", TOP),
+    parts = {} if options is None else {"filter_options": options}
+    parts |= {
+        "metrics": market.headline_metrics(postings, counts),
+        "top_locations": market.facet(counts, "location", sizes.top),
+        "top_companies": market.facet(counts, "company", sizes.top),
         "timeline": days.select(F.col("name").cast("date").alias("date"), "count").orderBy("date"),
         "work_mode_split": market.with_share(modes),
-        "remote_locations": market.facet(counts, "remote_location", TOP),
+        "remote_locations": market.facet(counts, "remote_location", sizes.top),
     }
     if "skills" in postings.columns:
         demand = market.facet(counts, "skill").toDF("skill", "demand")
         parts |= {
             "skill_rankings": skill_demand.label_rankings(demand),
             "skill_totals": skill_demand.sum_demand(demand),
-            "skill_cooccurrence": skill_demand.skill_cooccurrence(postings),
+            "skill_cooccurrence": skill_demand.skill_cooccurrence(postings, sizes.pairs),
         }
     if "salary_min" in postings.columns:
         parts |= {
             "salary_metrics": salaries.salary_metrics(postings),
-            "salary_histogram": salaries.salary_histogram(postings),
-            "salary_ranges": salaries.salary_ranges(postings),
-            "salary_table": salaries.salary_table(postings),
+            "salary_histogram": salaries.salary_histogram(postings, sizes.bins),
+            "salary_ranges": salaries.salary_ranges(postings, sizes.ranges, keep_key=True),
+            "salary_table": salaries.salary_table(postings, sizes.table, keep_key=True),
         }
     return parts
 
 
+def filter_options(postings: DataFrame) -> DataFrame:
+    """Locations to choose from, each with the first and last day of all postings."""
+    bounds = market.date_range(postings).select(F.struct("first_date", "last_date").alias("r")).scalar()
+    options = market.location_options(postings).withColumn("r", bounds)
+    return options.select(F.col("location").alias("option"), "r.first_date", "r.last_date")
+
+
 class Dashboard:
     """Sections over one persisted copy of the filtered postings and of their counts.
 
@@ -95,12 +115,13 @@ class Dashboard:
         locations: Iterable[str] = (),
         date_from: str | None = None,
         date_to: str | None = None,
+        sizes: Sizes = Sizes(),
     ):
-        narrow = postings.select(*[c for c in COLUMNS if c in postings.columns])
-        chosen = market.filter_postings(market.prepare(narrow), locations, date_from, date_to)
+        narrow = market.prepare(postings.select(*[c for c in COLUMNS if c in postings.columns]))
+        chosen = market.filter_postings(narrow, locations, date_from, date_to)
         self.postings = chosen.persist(StorageLevel.MEMORY_AND_DISK)
         self.counts = _facets(self.postings).persist(StorageLevel.MEMORY_AND_DISK)
-        self.sections = sections(self.postings, self.counts)
+        self.sections = sections(self.postings, self.counts, sizes, filter_options(narrow))
 
     def __enter__(self) -> Dashboard:
         return self
@@ -113,35 +134,47 @@ class Dashboard:
         self.postings.unpersist()
 
 
-def dashboard(
-    postings: DataFrame,
-    locations: Iterable[str] = (),
-    date_from: str | None = None,
-    date_to: str | None = None,
-) -> dict[str, DataFrame]:
-    """Sections by name, or a single `error` record if the stored table is empty."""
+@contextmanager
+def dashboard(postings: DataFrame, *filters, **options) -> Iterator[dict[str, DataFrame]]:
+    """Sections by name while the context lasts, or a single `error` record if the stored table is empty."""
     if postings.isEmpty():
-        none = postings.sparkSession.range(1).select(F.lit(NO_DATA).alias("error"))
-        return {"error": none}
-    return Dashboard(postings, locations, date_from, date_to).sections
+        yield {"error": postings.sparkSession.range(1).select(F.lit(NO_DATA).alias("error"))}
+        return
+    with Dashboard(postings, *filters, **options) as board:
+        yield board.sections
+
+
+def with_position(section: str, part: DataFrame) -> DataFrame:
+    """The section with the place of each row, from 1; sections are short once ranked or counted."""
+    keys = [F.desc_nulls_last(name) if down else F.asc(name) for name, down in ORDER.get(section, ())]
+    place = F.row_number().over(Window.orderBy(*keys)) if keys else F.lit(1)
+    return part.withColumn("position", place)
+
+
+def write_sections(parts: dict[str, DataFrame], path: str) -> None:
+    """Each section in its own folder and schema, as JSON lines in order of position."""
+    for section, part in parts.items():
+        with_position(section, part).write.mode("overwrite").json(f"{path}/{section}")
 
 
 def as_rows(parts: dict[str, DataFrame]) -> DataFrame:
-    """All sections in one long frame (section, name, measure, value), for export.
+    """All sections in one long frame: (section, position, measure, text, value).
 
-    The first text or date column of a section names the row; every number
-    becomes a row of its own. Row order within a section is not kept.
+    Every cell is a row: texts and days in `text`, numbers in `value`. Cells of
+    one row share section and position, so nothing is lost.
     """
 
-    def unpivot(section: str, part: DataFrame) -> DataFrame:
-        names = [c for c, kind in part.dtypes if kind in ("string", "date")]
-        numbers = [c for c, kind in part.dtypes if kind not in ("string", "date") and c != "bin"]
-        name = F.col(names[0]).cast("string") if names else F.lit("")
-        cells = F.array(
-            *[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in numbers]
-        )
-        return part.select(
-            F.lit(section).alias("section"), name.alias("name"), F.explode(cells).alias("cell")
-        ).select("section", "name", "cell.measure", "cell.value")
-
-    return reduce(DataFrame.unionByName, [unpivot(section, part) for section, part in parts.items()])
+    def cells(section: str, part: DataFrame) -> DataFrame:
+        def cell(name: str, kind: str) -> Column:
+            is_text = kind in ("string", "date")
+            return F.struct(
+                F.lit(name).alias("measure"),
+                (F.col(name).cast("string") if is_text else F.lit(None).cast("string")).alias("text"),
+                (F.lit(None).cast("double") if is_text else F.col(name).cast("double")).alias("value"),
+            )
+
+        each = F.explode(F.array(*[cell(name, kind) for name, kind in part.dtypes]))
+        placed = with_position(section, part).select(F.lit(section).alias("section"), "position", each.alias("cell"))
+        return placed.select("section", "position", "cell.*")
+
+    return reduce(DataFrame.unionByName, [cells(section, part) for section, part in parts.items()])

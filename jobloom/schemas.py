@@ -9,6 +9,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
+# ---- fixed values: column names, kinds and limits of every layer ----------------
 TEXT = T.StringType()
 TEXTS = T.ArrayType(TEXT)
 
@@ -98,6 +99,7 @@ WAREHOUSE_JOBS = _struct(
     ("source", TEXT),
 )
 WAREHOUSE_SKILLS = _struct(("skill_id", T.IntegerType()), ("skill_name", TEXT))
+SKILL_NAME_LIMIT = 100
 WAREHOUSE_LINKS = _struct(("job_id", TEXT), ("skill_id", T.IntegerType()))
 
 RUN = _struct(
@@ -117,3 +119,4 @@ DAG = _struct(
     ("tags", T.ArrayType(_struct(("name", TEXT)))),
     ("tasks", T.ArrayType(_struct(("task_id", TEXT)))),
 )
+# ---------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from jobloom import schemas
 
@@ -24,10 +24,13 @@ _CSV = {
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach, below `spark.checkpoint.dir`.
 
-    Only where the session names none (tests, one machine) a local one is made.
+    Only a local master may do without: there a folder of this machine is made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="jobloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -42,16 +45,41 @@ def open_if_present(reader) -> DataFrame | None:
         raise
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def _texts(df: DataFrame) -> list[str]:
+    return [field.name for field in df.schema if isinstance(field.dataType, T.StringType)]
+
+
+def read_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
     """Header CSV with every column as text; quoted line breaks are allowed.
 
     An empty field is null and a quoted empty field is the empty text: the mark
     for null is set to a sign no text holds, or the reader would merge the two.
+    Files written with `one_line` hold a row per line, so large ones are split;
+    any others are read one file per task.
     """
-    return spark.read.options(**_CSV, multiLine=True, inferSchema=False, nullValue="\0").csv(path)
-
-
-def write_csv(df: DataFrame, path: str) -> None:
+    found = spark.read.options(**_CSV, multiLine=not one_line, inferSchema=False, nullValue="\0").csv(path)
+    if one_line:
+        plain = {}
+        for name in _texts(found):
+            # A doubled backslash is set aside first, or `\\\\n` would read as a break.
+            text = F.replace(name, F.lit("\\\\"), F.lit("\0"))
+            for mark, sign in (("\\n", "\n"), ("\\r", "\r"), ("\0", "\\")):
+                text = F.replace(text, F.lit(mark), F.lit(sign))
+            plain[name] = text
+        found = found.withColumns(plain)
+    return found
+
+
+def write_csv(df: DataFrame, path: str, one_line: bool = False) -> None:
+    """Header CSV; with `one_line`, line breaks and backslashes in texts are written as escapes."""
+    if one_line:
+        escaped = {}
+        for name in _texts(df):
+            text = F.col(name)
+            for sign, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+                text = F.replace(text, F.lit(sign), F.lit(mark))
+            escaped[name] = text
+        df = df.withColumns(escaped)
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
@@ -100,10 +128,11 @@ def read_clean(
     parquet: str | None,
     csv: str | None = None,
     jdbc: dict[str, str] | None = None,
+    required: bool = False,
 ) -> DataFrame:
     """Parquet, else CSV, else a database table (`jdbc` reader options), else empty.
 
-    CSV columns arrive as text; known ones are cast to the clean schema. To read
+    With `required`, finding nothing is an error. CSV columns arrive as text; known ones are cast to the clean schema. To read
     a large database table in parallel, give `partitionColumn` and its bounds.
     """
     found = open_if_present(lambda: spark.read.parquet(parquet)) if parquet else None
@@ -119,6 +148,8 @@ def read_clean(
             )
     if found is None and jdbc:
         found = spark.read.format("jdbc").options(**jdbc).load()
+    if found is None and required:
+        raise FileNotFoundError(f"no table at {parquet or csv}")
     return spark.createDataFrame([], schemas.CLEAN) if found is None else found
 
 
@@ -148,7 +179,8 @@ class VersionedTable:
     """A Parquet table replaced as a whole: new version folder first, pointer second.
 
     Readers keep the version they opened, a failed write leaves the pointer
-    alone, and no plan overwrites what it reads.
+    alone, and no plan overwrites what it reads. There is one writer at a time; a
+    second one is noticed before the pointer moves.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -172,6 +204,8 @@ class VersionedTable:
         version = at[0] + 1 if at else 1
         path = f"{self._base}/version={version}-{uuid.uuid4().hex}"
         df.write.parquet(path)
+        if self._pointer() != at:
+            raise RuntimeError(f"another writer changed {self._base} meanwhile")
         entry = self._spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
         entry.write.mode("append").parquet(f"{self._base}/_pointer_log")
         return self._spark.read.parquet(path)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobloom.operators import market, medians, salaries, skill_demand
-from jobloom.plans.dashboard import Dashboard, as_rows, dashboard
+from jobloom.plans.dashboard import Dashboard, Sizes, as_rows, dashboard
 
 
 def rows(df):
@@ -18,7 +18,12 @@ def rows(df):
 def test_all_sections(three_postings):
     with Dashboard(three_postings) as board:
         parts = {name: part.collect() for name, part in board.sections.items()}
-        assert as_rows(board.sections).count() > 20
+        cells = as_rows(board.sections)
+        table = cells.where("section = 'salary_table'").groupBy("position").pivot("measure", ["job_id", "company", "salary_min", "salary_max"])
+        shown = table.agg(F.first(F.coalesce("text", F.col("value").cast("string")))).orderBy("position").collect()
+        assert [tuple(r)[1:] for r in shown] == [("a2", "Globex", "110000.0", "150000.0"), ("a1", "Acme", "90000.0", "130000.0")]
+    with Dashboard(three_postings, sizes=Sizes(top=1, pairs=2, ranges=1, table=1)) as board:
+        assert [board.sections[n].count() for n in ("top_companies", "skill_cooccurrence", "salary_ranges", "salary_table")] == [1, 2, 1, 1]
     metrics = parts["metrics"][0]
     assert (metrics["total_jobs"], metrics["companies"], metrics["locations"]) == (3, 2, 2)
     assert (metrics["avg_skills"], metrics["with_salary"]) == (2.7, 2)
@@ -31,6 +36,7 @@ def test_all_sections(three_postings):
     salary = parts["salary_metrics"][0]
     assert tuple(salary) == (2, 100000.0, 140000.0, 90000.0, 150000.0)
     assert sum(r["min_salary"] for r in parts["salary_histogram"]) == 2
+    assert [r["option"] for r in parts["filter_options"]] == ["New York", "Remote"]
     assert [r["label"] for r in parts["salary_ranges"]] == ["Data Engineer — Acme", "Backend Dev — Globex"]
     assert [r["salary_min"] for r in parts["salary_table"]] == [110000.0, 90000.0]
     assert [tuple(r) for r in parts["work_mode_split"]] == [("Remote", 2, 66.7), ("Onsite", 1, 33.3)]
@@ -70,7 +76,8 @@ def test_empty_selection(three_postings):
         assert board.sections["salary_metrics"].first()["count"] == 0
         for name in ("salary_histogram", "skill_rankings", "timeline", "work_mode_split"):
             assert board.sections[name].count() == 0
-    assert "error" in dashboard(three_postings.limit(0))
+    with dashboard(three_postings.limit(0)) as parts:
+        assert list(parts) == ["error"]
 
 
 def test_options_and_search(three_postings):
@@ -92,10 +99,12 @@ def test_stored_work_mode_wins(spark):
     assert got == ["Onsite", "Remote", "Onsite", "Remote"]
 
 
-def test_ranked_top_n_is_clamped(spark):
+def test_ranked_top_n_gives_n(spark):
     pairs = spark.range(100).select(F.col("id").alias("job_id"), F.concat(F.lit("s"), F.col("id") % 50).alias("skill"))
-    assert skill_demand.ranked_top_n(pairs, 1).count() == 5
-    assert skill_demand.ranked_top_n(pairs, 99).count() == 40
+    assert skill_demand.ranked_top_n(pairs, 1).count() == 1
+    assert skill_demand.ranked_top_n(pairs, 49).count() == 49
+    with pytest.raises(ValueError):
+        skill_demand.ranked_top_n(pairs, 0)
     first = skill_demand.ranked_top_n(pairs).first()
     assert (first["position"], first["skill"], first["demand"]) == (1, "S0", 2)
 

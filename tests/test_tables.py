@@ -1,7 +1,9 @@
 """Feeds from files, round trips, keyed maintenance and the whole batch."""
 
 import json
-from datetime import datetime
+import os
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from jobloom.operators import keyed, market, quality, runlog, warehouse
 from jobloom.plans import batch
 from jobloom.sources import feeds, storage
 
-DAY_1, DAY_2 = datetime(2025, 3, 1, 6), datetime(2025, 3, 2, 6)
+DAY_1, DAY_2 = (datetime(2025, 3, day, 6, tzinfo=timezone.utc) for day in (1, 2))
 
 FEED_A = {
     "legal": "x",
@@ -53,6 +55,11 @@ def test_feeds(landed):
     assert {r["job_type"] for r in b} == {"remote"}
 
 
+def moment(stored):
+    """A stored time as an instant: collected in the zone of this machine."""
+    return stored.astimezone(timezone.utc)
+
+
 def test_payload_without_jobs(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"legal": "x"}')
     assert feeds.normalise_feed_a(feeds.read_feed_a(spark, str(tmp_path / "a.json"))).count() == 0
@@ -78,16 +85,23 @@ def test_batch_twice(spark, landed, tmp_path):
     assert clean["remotive_8"]["posted_date"] is None
     assert list(spark.read.parquet(f"{base}/clean/parquet").columns) == schemas.CLEAN_COLUMNS
 
-    tables = {n: storage.VersionedTable(spark, f"{base}/warehouse/{n}") for n in ("jobs", "skills", "job_skills")}
-    before = {n: sorted(map(tuple, t.read().collect()), key=str) for n, t in tables.items()}
-    assert [len(before[n]) for n in tables] == [4, 6, 6]
+    def tables():
+        versions = {n: storage.VersionedTable(spark, f"{base}/warehouse/{n}").read() for n in ("jobs", "skills")}
+        links = spark.read.parquet(f"{base}/warehouse/job_skills").select("job_id", "skill_id")
+        return {n: sorted(map(tuple, t.collect()), key=str) for n, t in (versions | {"job_skills": links}).items()}
+
+    before = tables()
+    assert [len(rows) for rows in before.values()] == [4, 6, 6]
     assert [r[1] for r in before["skills"]] == ["kafka", "nlp", "python", "pytorch", "spark", "sql"]
 
     batch.run_batch(spark, list(landed), base, DAY_2)
-    after = {n: sorted(map(tuple, t.read().collect()), key=str) for n, t in tables.items()}
+    after = tables()
     assert after["skills"] == before["skills"] and after["job_skills"] == before["job_skills"]
     assert [r[:-1] for r in after["jobs"]] == [r[:-1] for r in before["jobs"]]
-    assert {r[-1] for r in after["jobs"]} == {DAY_2} and {r[-2] for r in after["jobs"]} == {DAY_1}
+    assert {moment(r[-1]) for r in after["jobs"]} == {DAY_2} and {moment(r[-2]) for r in after["jobs"]} == {DAY_1}
+    summaries = {n: spark.read.parquet(f"{base}/summaries/{n}") for n in ("ingestion", "cleaning", "steps", "skills")}
+    assert all(df.count() == 2 for df in summaries.values())
+    assert summaries["ingestion"].first()["total_records"] == 4
     steps = spark.read.parquet(f"{base}/step_counts")
     assert steps.count() == 6 and steps.where("step = 'load'").count() == 2
 
@@ -117,9 +131,36 @@ def test_upsert_is_idempotent_and_keeps_created_at(spark):
     stored = warehouse.upsert(None, old, "k", DAY_1)
     once = warehouse.upsert(stored, new, "k", DAY_2, order=["n"])
     twice = warehouse.upsert(once, new, "k", DAY_2, order=["n"])
-    expected = [(1, "a", DAY_1, DAY_1), (2, "y", DAY_1, DAY_2), (3, "z", DAY_2, DAY_2)]
-    assert sorted(map(tuple, once.collect())) == expected
-    assert sorted(map(tuple, twice.collect())) == expected
+    expected = [(1, "a", DAY_1, DAY_1, None), (2, "y", DAY_1, DAY_2, 2), (3, "z", DAY_2, DAY_2, 1)]
+    for result in (once, twice):
+        got = [(r["k"], r["v"], moment(r["created_at"]), moment(r["updated_at"]), r["n"]) for r in result.collect()]
+        assert sorted(got) == expected
+    nulls = spark.createDataFrame([(None, "n"), (1, "b")], "k int, w string")
+    once = warehouse.upsert(stored, nulls, "k", DAY_2)
+    twice = warehouse.upsert(once, nulls, "k", DAY_2)
+    assert once.count() == twice.count() == 3 and set(once.columns) == {"k", "v", "w", "created_at", "updated_at"}
+
+
+def test_batch_time_has_an_offset(spark):
+    rows = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError):
+        warehouse.upsert(None, rows, "k", datetime(2025, 3, 1, 6))
+    far = datetime(2025, 3, 1, 1, tzinfo=timezone(timedelta(hours=-5)))
+    before, zone = os.environ.get("TZ"), spark.conf.get("spark.sql.session.timeZone")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        stored = warehouse.upsert(None, rows, "k", far).select(F.unix_micros("created_at")).first()[0]
+        runs = spark.createDataFrame(
+            [("a", "2025-03-01", "2025-03-01T00:00:10Z"), ("b", "2025-03-01", "2025-03-01+02:00")], "dag_run_id string, start_date string, end_date string"
+        )
+        seconds = [r["duration_seconds"] for r in runlog.run_durations(runs).orderBy("dag_run_id").collect()]
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert stored == DAY_1.timestamp() * 1e6 and seconds == [10.0, None]
 
 
 def test_skill_ids_stay(spark):
@@ -181,7 +222,9 @@ def test_run_log(spark):
     seconds = {r["dag_run_id"]: r["duration_seconds"] for r in runlog.run_durations(runs).collect()}
     assert seconds == {"r1": 60.0, "r2": None, "r3": 1.3, "r4": None}
     assert sorted(map(tuple, runlog.run_state_summary(runs).collect())) == [("failed", 2), ("success", 1), ("unknown", 1)]
-    assert [r["dag_run_id"] for r in runlog.recent_runs(runs, 0).collect()] == ["r2"]
+    assert [r["dag_run_id"] for r in runlog.recent_runs(runs, 9, most=1).collect()] == ["r2"]
+    with pytest.raises(ValueError):
+        runlog.recent_runs(runs, 0)
     assert [r["dag_run_id"] for r in runlog.recent_runs(runs).collect()] == ["r2", "r3", "r1", "r4"]
 
 
@@ -215,9 +258,57 @@ def test_command_line(spark, tmp_path, capsys):
     main(["batch", "--feed-a", str(tmp_path / "a.json"), "--feed-b", str(tmp_path / "missing.json"), "--base", base], spark)
     assert "load: 2 rows" in capsys.readouterr().out
     main(["dashboard", "--base", base, "--out", f"{base}/board", "--location", "Remote"], spark)
-    board = spark.read.json(f"{base}/board")
-    assert board.where("section = 'metrics' and measure = 'total_jobs'").first()["value"] == 2.0
+    assert spark.read.json(f"{base}/board/metrics").first()["total_jobs"] == 2
+    assert "Widget" not in spark.read.text(f"{base}/raw/json").first()["value"] and "content" in spark.read.json(f"{base}/raw/json").columns
     for kind in ("parquet", "csv"):
-        main(["enrich", "--table", f"{base}/clean/{kind}", "--out", f"{base}/enriched_{kind}"], spark)
-        got = {r["job_id"]: r["skills"] for r in spark.read.parquet(f"{base}/enriched_{kind}").collect()}
-        assert got == {"remotive_7": "kafka, python, spark, sql", "remotive_8": ""}
+        read = spark.read.parquet if kind == "parquet" else lambda path: storage.read_csv(spark, path)
+        for out in (["--out", f"{base}/enriched_{kind}"], []):
+            main(["enrich", "--table", f"{base}/clean/{kind}", *out], spark)
+            got = {r["job_id"]: r["skills"] for r in read(out[1] if out else f"{base}/clean/{kind}").collect()}
+            assert got == {"remotive_7": "kafka, python, spark, sql", "remotive_8": ""}
+    with pytest.raises(FileNotFoundError):
+        main(["enrich", "--table", f"{base}/nowhere", "--out", f"{base}/x"], spark)
+    main(["dashboard", "--base", f"{base}/nowhere", "--out", f"{base}/none"], spark)
+    assert spark.read.json(f"{base}/none/error").columns == ["error", "position"]
+
+
+def test_cut_off_payload_is_counted(spark, tmp_path, capsys):
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed/a.json").write_text(json.dumps(FEED_A))
+    (tmp_path / "feed/b.json").write_text(json.dumps(FEED_A)[:-9])
+    landed = feeds.read_feed_a(spark, str(tmp_path / "feed"))
+    assert [r["path"].rsplit("/", 1)[1] for r in feeds.corrupt_payloads(landed).collect()] == ["b.json"]
+    main(["batch", "--feed-a", str(tmp_path / "feed"), "--base", str(tmp_path / "out")], spark)
+    assert "corrupt_payloads: 1 rows" in capsys.readouterr().out
+
+
+def test_csv_of_one_line_rows(spark, tmp_path):
+    texts = [("a", ' lead "quoted", comma\nnext\r line \\n \\'), ("b", ""), ("c", None), ("d", "\\"), ("e", "\\\n")]
+    storage.write_csv(spark.createDataFrame(texts, "id string, text string"), str(tmp_path / "csv"), one_line=True)
+    assert sorted(map(tuple, storage.read_csv(spark, str(tmp_path / "csv"), one_line=True).collect())) == texts
+    assert spark.read.text(str(tmp_path / "csv")).where("value <> 'id,text'").count() == 5
+
+
+def test_shared_folder_is_demanded_on_a_cluster():
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, name, default=None):
+            return self.master if name == "spark.master" else default
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    assert storage.shared_folder(Session("local[4]"), "x")
+    with pytest.raises(ValueError):
+        storage.shared_folder(Session("spark://somewhere:7077"), "x")
+
+
+def test_missing_numbers_in_steps(spark):
+    df = spark.createDataFrame(
+        [(1.0, "d", "x", True), (float("nan"), "dd", "y", False), (float("inf"), None, "x", None)],
+        "salary_min double, description string, location string, is_remote boolean",
+    ).withColumn("posted_date", F.lit(None).cast("date"))
+    assert quality.step_counters(df).first()["with_salary"] == 1

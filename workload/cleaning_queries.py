@@ -130,6 +130,30 @@ def c9_tech(spark, sf_dir):
     return cleaning.extract_skills(_documents(spark, sf_dir)).select("doc_id", "skills")
 
 
+def _with_term() -> tuple[str, int]:
+    """Every text followed by a term of the dictionary, in turn and in either case, and the terms' number.
+
+    It comes twice, before a letter and before a blank: terms that end in a sign
+    are found in the first place, all others in the second.
+    """
+    names = ", ".join(f"'{term}'" for term in skill_functions.TECH_SKILLS)
+    count = len(skill_functions.TECH_SKILLS)
+    term = f"(array({names}))[{{place}}]"
+    chosen = f"case when doc_id % 2 = 0 then upper({term}) else {term} end"
+    return f"concat(text, ' ', {chosen}, 'x ', {chosen}, ' ')", count
+
+
+@register(
+    "C9_extract_skills_all_terms",
+    f"select doc_id, {q.skills('text', skill_functions.TECH_SKILLS)} as skills from (select doc_id,"
+    f" {_with_term()[0].replace('(array(', '([').replace('))[', '])[').format(place=f'doc_id % {_with_term()[1]} + 1')} as text from documents)",
+)
+def c9_all(spark, sf_dir):
+    text, count = _with_term()
+    documents = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{text.format(place=f'cast(doc_id % {count} as int)')} as description", "'' as tags")
+    return cleaning.extract_skills(documents).select("doc_id", "skills")
+
+
 # Terms that contain or continue one another need more than one scan.
 _NESTED = ("de", "de la", "la", "le", "an the", "the", "the on", "on")
 
@@ -263,6 +287,19 @@ def q5_top(spark, sf_dir):
     return skill_demand.skill_rankings(skill_demand.posting_skills(found)).limit(15)
 
 
+@register(
+    "Q5_top_brands",
+    with_views(
+        f"select {q.initcap('skill')} as skill, demand from (select skill, count(*) as demand from posting_skills"
+        " group by 1 order by 2 desc, 1 limit 15)",
+        "posting_skills",
+    ),
+)
+def q5_brands(spark, sf_dir):
+    """More names than are shown."""
+    return skill_demand.skill_rankings(view(spark, sf_dir, "posting_skills")).limit(15)
+
+
 @register(
     "Q6_step_row_counts",
     raw("").rstrip()

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.operators import market, salaries, skill_demand
+from jobloom.functions import fields
+from jobloom.operators import market, quality, salaries, skill_demand
 from jobloom.plans import dashboard as board
-from jobloom.sources.storage import Snapshot
+from jobloom.sources.storage import Snapshot, shared_folder
 from workload import sqltext as q
 from workload.registry import register
 from workload.views import view, with_views
@@ -111,19 +112,30 @@ def a7_two_words(spark, sf_dir):
     return skill_demand.skill_rankings(on_mentions(spark, sf_dir))
 
 
-@register(
-    "A8_ranked_top_n",
-    with_views(
+def _ranked_sql(n: int) -> str:
+    return with_views(
         f"select cast(row_number() over (order by demand desc, name) as integer) as position, {q.initcap('name')} as skill,"
         " demand from (select skill as name, count(*) as demand from posting_skills group by 1)"
-        " order by position limit 20",
+        f" order by position limit {n}",
         "posting_skills",
-    ),
-)
+    )
+
+
+@register("A8_ranked_top_n", _ranked_sql(20))
 def a8(spark, sf_dir):
     return skill_demand.ranked_top_n(on_skills(spark, sf_dir), 20)
 
 
+@register("A8_ranked_top_3", _ranked_sql(3))
+def a8_few(spark, sf_dir):
+    return skill_demand.ranked_top_n(on_skills(spark, sf_dir), 3)
+
+
+@register("A8_ranked_top_50", _ranked_sql(50))
+def a8_many(spark, sf_dir):
+    return skill_demand.ranked_top_n(on_skills(spark, sf_dir), 50)
+
+
 @register("A9_skill_totals", with_views(q.totals("posting_skills"), "posting_skills"))
 def a9(spark, sf_dir):
     return skill_demand.skill_totals(on_skills(spark, sf_dir))
@@ -139,6 +151,41 @@ def a10_all(spark, sf_dir):
     return skill_demand.skill_cooccurrence(skill_demand.skill_sets(on_skills(spark, sf_dir)), None)
 
 
+def _as_arrays(spark, sf_dir) -> DataFrame:
+    """Skills stored as arrays, in capitals, with nulls and blanks among them."""
+    sets = skill_demand.skill_sets(on_skills(spark, sf_dir))
+    none = F.array(F.lit(None), F.lit(""), F.lit("  "))
+    return sets.withColumn("skills", F.concat(none, F.transform("skills", lambda name: F.concat(F.lit(" "), F.upper(name)))))
+
+
+@register("A7_skill_rankings_arrays", with_views(q.rankings("posting_skills"), "posting_skills"))
+def a7_arrays(spark, sf_dir):
+    return skill_demand.skill_rankings(skill_demand.posting_skills(_as_arrays(spark, sf_dir)))
+
+
+@register("A9_skill_totals_arrays", with_views(q.totals("posting_skills"), "posting_skills"))
+def a9_arrays(spark, sf_dir):
+    return skill_demand.skill_totals(skill_demand.posting_skills(_as_arrays(spark, sf_dir)))
+
+
+@register("A10_skill_pairs_arrays", with_views(q.cooccurrence("posting_skills", 1_000_000_000), "posting_skills"))
+def a10_arrays(spark, sf_dir):
+    return skill_demand.skill_cooccurrence(_as_arrays(spark, sf_dir), None)
+
+
+_PAIRED = ("brand#11", "brand#12", "brand#23", "brand#34", "brand#45", "unknown")
+
+
+@register(
+    "A10_skill_pairs_dictionary",
+    with_views("", "posting_skills").rstrip()
+    + f", named as (select * from posting_skills where skill in {_PAIRED})\n"
+    + q.cooccurrence("named", 1_000_000_000),
+)
+def a10_dictionary(spark, sf_dir):
+    return skill_demand.skill_cooccurrence(skill_demand.skill_sets(on_skills(spark, sf_dir)), None, dictionary=_PAIRED)
+
+
 @register("A11_salary_metrics", clean(q.salary_metrics("postings_clean")))
 def a11(spark, sf_dir):
     return salaries.salary_metrics(on_clean(spark, sf_dir))
@@ -197,33 +244,81 @@ def a19(spark, sf_dir):
     return market.remote_locations(on_clean(spark, sf_dir))
 
 
+# NaN and infinities are missing numbers: the twin holds nulls in their place.
+_MISSING = {
+    "A4_headline_metrics_missing_numbers": (market.headline_metrics, q.headline),
+    "A11_salary_metrics_missing_numbers": (salaries.salary_metrics, q.salary_metrics),
+    "A12_salary_histogram_missing_numbers": (salaries.salary_histogram, q.histogram),
+    "A13_histogram_own_edges_missing_numbers": (salaries.histogram_own_edges, q.own_histogram),
+    "A14_salary_ranges_missing_numbers": (salaries.salary_ranges, q.ranges),
+    "A15_range_bars_missing_numbers": (salaries.range_bars, q.bars),
+    "A16_salary_table_missing_numbers": (salaries.salary_table, q.salary_table),
+    "Q2_cleaning_summary_missing_numbers": (
+        quality.cleaning_summary,
+        lambda source: "select count(*) as records, count(salary_min) as with_salary, count_if(skill_count > 0)::bigint as with_skills,"
+        f" count(distinct location) as locations, count(distinct company) as companies from {source}",
+    ),
+}
+for _name, (_operator, _sql) in _MISSING.items():
+
+    @register(_name, with_views(_sql("postings_missing"), "postings_missing"))
+    def missing_numbers(spark, sf_dir, operator=_operator):
+        return operator(view(spark, sf_dir, "postings_nan"))
+
+
+@register(
+    "A18_work_mode_empty",
+    clean(
+        f"select job_id, case when job_id % 3 = 0 then {q.work_mode('location', fields.FALLBACK_LOCATION_WORDS)}"
+        " else work_mode end as work_mode from (select * replace (case when job_id % 2 = 0 then 'Worldwide' else location end"
+        " as location) from postings_clean)"
+    ),
+)
+def a18_empty(spark, sf_dir):
+    empty = F.when(F.col("job_id") % 6 == 0, "").when(F.col("job_id") % 3 == 0, F.lit(None)).otherwise(F.col("work_mode"))
+    places = F.when(F.col("job_id") % 2 == 0, "Worldwide").otherwise(F.col("location"))
+    postings = on_clean(spark, sf_dir).withColumns({"work_mode": empty, "location": places})
+    return market.with_work_mode(postings).select("job_id", "work_mode")
+
+
 def _dashboard_sql() -> str:
-    """All sections over the filtered rows, unpivoted to (section, name, measure, value)."""
+    """All sections over the filtered rows: every cell with section, position, text or number."""
     pairs = "(select job_id, trim(unnest(string_split(skills, ','))) as skill from chosen)"
+    by_count = "count desc, name"
+    remote = "(select * from chosen where work_mode = 'Remote')"
+    options = (
+        "select location as option, (select min(posted_date) from full_rows) as first_date,"
+        " (select max(posted_date) from full_rows) as last_date from (select distinct location from full_rows where location <> '')"
+    )
+    # section: SQL, order, texts, numbers
     parts = {
-        "metrics": (q.headline("chosen"), None, ["total_jobs", "companies", "locations", "avg_skills", "with_salary"]),
-        "top_locations": (q.top_values("chosen", "location"), "name", ["count"]),
-        "top_companies": (q.top_values("chosen", "company"), "name", ["count"]),
-        "timeline": (q.timeline("chosen"), "date", ["count"]),
-        "skill_rankings": (q.rankings(pairs), "skill", ["demand"]),
-        "skill_totals": (q.totals(pairs), None, ["total_mentions", "unique_skills"]),
-        "skill_cooccurrence": (q.cooccurrence(pairs), "pair", ["count"]),
-        "salary_metrics": (q.salary_metrics("chosen"), None, ["count", "median_min", "median_max", "full_min", "full_max"]),
-        "salary_histogram": (q.histogram("chosen"), "range", ["min_salary", "max_salary"]),
-        "salary_ranges": (q.ranges("chosen"), "label", ["min", "max"]),
-        "salary_table": (q.salary_table("chosen"), "title", ["salary_min", "salary_max"]),
-        "work_mode_split": (q.mode_split("chosen"), "mode", ["count", "share"]),
-        "remote_locations": (
-            q.top_values("(select * from chosen where work_mode = 'Remote')", "location"), "name", ["count"],
+        "filter_options": (options, "option", ["option", "first_date", "last_date"], []),
+        "metrics": (q.headline("chosen"), "", [], ["total_jobs", "companies", "locations", "avg_skills", "with_salary"]),
+        "top_locations": (q.top_values("chosen", "location"), by_count, ["name"], ["count"]),
+        "top_companies": (q.top_values("chosen", "company"), by_count, ["name"], ["count"]),
+        "timeline": (q.timeline("chosen"), "date", ["date"], ["count"]),
+        "skill_rankings": (q.rankings(pairs), "demand desc, skill", ["skill"], ["demand"]),
+        "skill_totals": (q.totals(pairs), "", [], ["total_mentions", "unique_skills"]),
+        "skill_cooccurrence": (q.cooccurrence(pairs), "count desc, pair", ["pair"], ["count"]),
+        "salary_metrics": (q.salary_metrics("chosen"), "", [], ["count", "median_min", "median_max", "full_min", "full_max"]),
+        "salary_histogram": (q.histogram("chosen"), "bin", ["range"], ["bin", "min_salary", "max_salary"]),
+        "salary_ranges": (q.ranges("chosen", key=True), "min, job_id", ["label"], ["job_id", "min", "max"]),
+        "salary_table": (
+            q.salary_table("chosen", key=True), "salary_min desc, job_id", ["title", "company", "location"],
+            ["job_id", "salary_min", "salary_max"],
         ),
+        "work_mode_split": (q.mode_split("chosen"), "count desc, mode", ["mode"], ["count", "share"]),
+        "remote_locations": (q.top_values(remote, "location"), by_count, ["name"], ["count"]),
     }
-    rows = [
-        f"select '{section}' as section, {f'cast({name} as varchar)' if name else repr('')} as name,"
-        f" '{measure}' as measure, cast({measure} as double) as value from ({text}) t"
-        for section, (text, name, measures) in parts.items()
-        for measure in measures
-    ]
-    # Numbers missing in a row stay as null values on both sides.
+    rows = []
+    for section, (text, order, texts, numbers) in parts.items():
+        place = f"row_number() over (order by {order})" if order else "1"
+        for measure in texts + numbers:
+            as_text, as_number = (f"cast({measure} as varchar)", "null") if measure in texts else ("null", measure)
+            rows.append(
+                f"select '{section}' as section, cast({place} as integer) as position, '{measure}' as measure,"
+                f" cast({as_text} as varchar) as text, cast({as_number} as double) as value from ({text}) t"
+            )
     return "\nunion all\n".join(rows)
 
 
@@ -234,11 +329,17 @@ def _dashboard_sql() -> str:
     + _dashboard_sql(),
 )
 def a20(spark, sf_dir):
-    parts = board.Dashboard(with_skills(spark, sf_dir), CHOSEN, FROM, TO).sections
-    return board.as_rows(parts)
+    """Stored while the kept postings last, so nothing stays in memory."""
+    path = shared_folder(spark, "board")
+    with board.dashboard(with_skills(spark, sf_dir), CHOSEN, FROM, TO) as parts:
+        board.as_rows(parts).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("S12_snapshot", clean(q.top_values("postings_clean", "company")))
 def s12(spark, sf_dir):
     snapshot = Snapshot(lambda: on_clean(spark, sf_dir).select("company", "location"))
-    return market.top_values(snapshot.get(), "company")
+    path = shared_folder(spark, "snapshot")
+    market.top_values(snapshot.get(), "company").write.parquet(path)
+    snapshot.reload()
+    return spark.read.parquet(path)

@@ -14,6 +14,11 @@ _MICROS = "(epoch_us(try_cast(end_date as timestamptz)) - epoch_us(try_cast(star
 _SECONDS = f"(({_MICROS} + 50000) // 100000) / 10.0::double"
 
 
+_ANY_DAYS = (
+    "days as (select dag_run_id, state, run_type, substr(start_date, 1, 10) as start_date, substr(end_date, 1, 10) as end_date from runs)"
+)
+
+
 def runs(text: str) -> str:
     return with_views(text, "runs")
 
@@ -36,16 +41,34 @@ def r2(spark, sf_dir):
 
 
 @register(
-    "R3_recent_runs",
-    runs(
-        f"select dag_run_id, state, run_type, start_date, end_date, {_SECONDS} as duration_seconds from runs"
-        " order by try_cast(start_date as timestamptz) desc nulls last, dag_run_id limit 20"
-    ),
+    "R1_run_durations_plain_days",
+    with_views("", "runs").rstrip()
+    + f", {_ANY_DAYS} select *, round(86400.0::double * (try_cast(end_date as date) - try_cast(start_date as date)), 1)"
+    " as duration_seconds from days",
 )
+def r1_days(spark, sf_dir):
+    """Days without a time."""
+    days = {name: F.substring(name, 1, 10) for name in ("start_date", "end_date")}
+    return runlog.run_durations(on_runs(spark, sf_dir).withColumns(days))
+
+
+def _recent_sql(n: int) -> str:
+    return runs(
+        f"select dag_run_id, state, run_type, start_date, end_date, {_SECONDS} as duration_seconds from runs"
+        f" order by try_cast(start_date as timestamptz) desc nulls last, dag_run_id limit {n}"
+    )
+
+
+@register("R3_recent_runs", _recent_sql(50))
 def r3(spark, sf_dir):
     return runlog.recent_runs(on_runs(spark, sf_dir), 50)
 
 
+@register("R3_recent_runs_at_most_20", _recent_sql(20))
+def r3_most(spark, sf_dir):
+    return runlog.recent_runs(on_runs(spark, sf_dir), 50, most=20)
+
+
 @register(
     "R4_dag_facts",
     "select concat('dag_', o_orderkey) as dag_id, o_orderstatus = 'P' as is_paused,"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from jobloom.functions import fields
+
 DOC_TERMS = ("the", "rest", "de", "le", "la", "au")
 
 BLANKS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]+"
@@ -19,31 +21,24 @@ def strip_html(x: str) -> str:
     return f"trim(regexp_replace({text}, '{BLANKS}', ' ', 'g'))"
 
 
-def work_mode(x: str, words: tuple[str, ...] = ("remote", "worldwide", "anywhere")) -> str:
+def work_mode(x: str, words: tuple[str, ...] = fields.REMOTE_LOCATION_WORDS) -> str:
     tests = " or ".join(f"contains(lower({x}), '{word}')" for word in words)
     return f"case when {tests} then 'Remote' else 'Onsite' end"
 
 
+def _named(x: str, table: dict[str, str], rest: str) -> str:
+    cases = " ".join(f"when '{name}' then '{value}'" for name, value in table.items())
+    return f"case {x} {cases} else {rest} end"
+
+
 def location(x: str, legacy: bool = False) -> str:
     head = f"trim(regexp_extract(coalesce({x}, ''), '^[^|;]*'))"
-    named = (
-        f"case lower({head}) when '' then 'Remote' when 'sf' then 'San Francisco' when 'nyc' then 'New York'"
-        f" when 'ny' then 'New York' when 'la' then 'Los Angeles' when 'dc' then 'Washington D.C.'"
-        f" when 'worldwide' then 'Remote' when 'anywhere' then 'Remote' when 'global' then 'Remote' else {head} end"
-    )
-    places = ", ".join(
-        f"nullif(regexp_extract({named}, '{pattern}', 1), '')"
-        for pattern in (
-            r"(?i)^remote\s*[-–—]\s*(.+)$",
-            r"(?i)^(.+?)\s*\(\s*remote\s*\)$",
-            r"(?i)^(.+?)\s*[-–—]\s*remote.*$",
-            r"(?i)^(.+?)\s*/\s*remote$",
-        )
-    )
+    named = _named(f"lower({head})", fields.LOCATION_ALIASES, head)
+    places = ", ".join(f"nullif(regexp_extract({named}, '{pattern}', 1), '')" for pattern in fields.PLACE_IN_REMOTE_TEXT)
     place = f"coalesce({places}, {named})"
     lead = r",?\s*" if legacy else r"(?:^|,\s*|\s+)"
-    codes = rf"(?i){lead}(USA|US|UK|CA|DE|FR|AU|IN)\s*$"
-    short = rf"trim(regexp_replace(regexp_replace({place}, ',\s*[A-Za-z]{{2}}$', ''), '{codes}', ''))"
+    codes = rf"(?i){lead}({fields.COUNTRY_CODES})\s*$"
+    short = rf"trim(regexp_replace(regexp_replace({place}, '{fields.REGION_TAIL}', ''), '{codes}', ''))"
     return initcap(f"coalesce(nullif({short}, ''), 'Remote')")
 
 
@@ -52,21 +47,22 @@ def is_remote(place: str, job_type: str) -> str:
 
 
 def job_type(x: str) -> str:
-    return (
-        f"case when lower(trim({x})) in ('full_time', 'full time', 'fulltime', 'remote') then 'Full-time'"
-        f" when lower(trim({x})) in ('part_time', 'part time', 'parttime') then 'Part-time'"
-        f" when lower(trim({x})) = 'contract' then 'Contract' when lower(trim({x})) = 'freelance' then 'Freelance'"
-        f" when lower(trim({x})) = 'internship' then 'Internship' when trim({x}) = '' then 'Unknown' else 'Other' end"
-    )
+    return _named(f"lower(trim({x}))", fields.JOB_TYPES, "'Other'")
 
 
 def salary(x: str) -> tuple[str, str]:
     """(salary_min, salary_max) expressions."""
     text = f"replace({x}, ',', '')"
-    a = rf"try_cast(nullif(regexp_extract({text}, '(\d+\.?\d*)', 1), '') as double)"
-    b = rf"try_cast(nullif(regexp_extract({text}, '\d+\.?\d*\D+(\d+\.?\d*)', 1), '') as double)"
-    factor = f"case when greatest({a}, {b}) < 200 then 2080.0::double when greatest({a}, {b}) < 10000 then 12.0::double else 1.0::double end"
-    return f"(least({a}, {b}) * {factor})", f"(case when {b} is not null then greatest({a}, {b}) * {factor} end)"
+    a, b = (
+        f"try_cast(nullif(regexp_extract({text}, '{pattern}', 1), '') as double)"
+        for pattern in (fields.FIRST_NUMBER, fields.SECOND_NUMBER)
+    )
+    top = f"greatest({a}, {b})"
+    factor = (
+        f"case when {top} < {fields.HOURLY_BELOW} then {fields.HOURS_PER_YEAR}::double"
+        f" when {top} < {fields.MONTHLY_BELOW} then {fields.MONTHS_PER_YEAR}::double else 1.0::double end"
+    )
+    return f"(least({a}, {b}) * {factor})", f"(case when {b} is not null then {top} * {factor} end)"
 
 
 def skills(x: str, terms: tuple[str, ...] = DOC_TERMS) -> str:
@@ -174,9 +170,9 @@ from range({bins}) g(i),
   (select min(least(salary_min, salary_max)) as lo, max(greatest(salary_min, salary_max)) as hi from {source} where salary_min > 0)"""
 
 
-def ranges(source: str, n: int = 15) -> str:
+def ranges(source: str, n: int = 15, key: bool = False) -> str:
     return (
-        "select title[1:28] || ' — ' || company[1:12] as label, salary_min as min, salary_max as max"
+        f"select {'job_id, ' if key else ''}title[1:28] || ' — ' || company[1:12] as label, salary_min as min, salary_max as max"
         f" from {source} where salary_min > 0 and salary_max is not null order by salary_min desc, job_id limit {n}"
     )
 
@@ -189,8 +185,8 @@ from ({ranges(source, n)}) r,
  (select min(salary_min) as lo, max(greatest(salary_min, salary_max)) as hi from {source} where salary_min > 0)"""
 
 
-def salary_table(source: str, n: int | None = 50) -> str:
+def salary_table(source: str, n: int | None = 50, key: bool = False) -> str:
     return (
-        f"select title, company, location, salary_min, salary_max from {source} where salary_min > 0"
+        f"select {'job_id, ' if key else ''}title, company, location, salary_min, salary_max from {source} where salary_min > 0"
         " order by salary_min desc, job_id" + (f" limit {n}" if n else "")
     )

@@ -25,6 +25,23 @@ select o_orderkey as job_id, o_orderpriority as title, c_name as company, n_name
  case when o_orderkey % 5 <> 0 and o_orderkey % 3 <> 0 then o_totalprice * 1.25 end as salary_max,
  case when o_orderkey % 4 = 0 then 'Remote' else 'Onsite' end as work_mode,
  cast(o_orderkey % 12 as int) as skill_count
+from {_POSTING_ROWS}""",
+    # Clean postings, some with NaN or infinite salaries.
+    "postings_nan": f"""
+select o_orderkey as job_id, o_orderpriority as title, c_name as company, n_name as location,
+ cast(o_orderdate as date) as posted_date,
+ case when o_orderkey % 7 = 0 then cast('NaN' as double) when o_orderkey % 5 <> 0 then o_totalprice end as salary_min,
+ case when o_orderkey % 11 = 0 then cast('Infinity' as double) when o_orderkey % 13 = 0 then cast('NaN' as double)
+   when o_orderkey % 3 <> 0 then o_totalprice * 1.25 end as salary_max,
+ cast(o_orderkey % 12 as int) as skill_count, 'text' as description, o_orderkey % 4 = 0 as is_remote
+from {_POSTING_ROWS}""",
+    # The same with nulls in their place.
+    "postings_missing": f"""
+select o_orderkey as job_id, o_orderpriority as title, c_name as company, n_name as location,
+ cast(o_orderdate as date) as posted_date,
+ case when o_orderkey % 7 <> 0 and o_orderkey % 5 <> 0 then o_totalprice end as salary_min,
+ case when o_orderkey % 11 <> 0 and o_orderkey % 13 <> 0 and o_orderkey % 3 <> 0 then o_totalprice * 1.25 end as salary_max,
+ cast(o_orderkey % 12 as int) as skill_count, 'text' as description, o_orderkey % 4 = 0 as is_remote
 from {_POSTING_ROWS}""",
     # One row per posting and skill.
     "posting_skills": """

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.operators import warehouse
+from jobloom.plans import batch as batch_plan
 from jobloom.sources import storage
 from workload.registry import register
 from workload.views import sql, table, view, with_views
@@ -56,7 +59,7 @@ _UPSERTED = (
 @register("W1_upsert", _UPSERTED)
 def w1(spark, sf_dir):
     stored, batch = stored_and_batch(spark, sf_dir)
-    return _as_text(warehouse.upsert(stored, batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]))
+    return _as_text(warehouse.upsert(stored, batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]).drop("copy_no"))
 
 
 @register("W1_upsert_stored_versions", _UPSERTED)
@@ -67,7 +70,21 @@ def w1_stored(spark, sf_dir):
     orders.write(stored)
     for _ in range(2):
         orders.write(warehouse.upsert(orders.read(), batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]))
-    return _as_text(orders.read())
+    return _as_text(orders.read().drop("copy_no"))
+
+
+@register(
+    "W1_upsert_new_column",
+    f"with {_STORED}, {_BATCH} select * replace (cast(o_orderdate as date) as o_orderdate) from ("
+    " select *, null::varchar as note from stored where o_orderkey not in (select o_orderkey from batch)"
+    " union all select b.*, coalesce(s.created_at, '2025-03-02 06:00:00'), '2025-03-02 06:00:00', 'batch'"
+    " from batch b left join stored s on b.o_orderkey = s.o_orderkey)",
+)
+def w1_new_column(spark, sf_dir):
+    """The batch has a column the table lacks, and lacks `created_at` and `updated_at`."""
+    stored, batch = stored_and_batch(spark, sf_dir)
+    batch = batch.withColumn("note", F.lit("batch"))
+    return _as_text(warehouse.upsert(stored, batch, "o_orderkey", _at(SECOND_LOAD), order=["copy_no"]).drop("copy_no"))
 
 
 @register(
@@ -115,6 +132,38 @@ def w3_rejects(spark, sf_dir):
     return rejected.select("job_id")
 
 
+_LOADED = (
+    _WAREHOUSE_INPUT.replace("'u' as url", "concat('Sql, ', case when o_orderkey % 21 = 0 then 'refused, ' else '' end,"
+    " 'tag', cast(o_orderkey % 40 as varchar(20)), ', ', o_orderpriority, ' ,sql') as skills, 'u' as url")
+)
+
+
+@register(
+    "W5_load_with_refused_rows",
+    f"with given as ({_LOADED}), accepted as ({_TYPED.replace('url, source', 'url, source, skills')}),"
+    " links as (select distinct job_id, lower(trim(unnest(string_split(skills, ',')))) as skill from accepted)"
+    " select cast((select count(*) from accepted) as bigint) as loaded, (select count(*) from accepted) as jobs,"
+    " (select count(distinct skill) from links) as skills, (select count(*) from links) as links,"
+    " (select count(*) from given) - (select count(*) from accepted) as refused,"
+    " cast('2025-03-01 06:00:00|2025-03-02 06:00:00' as varchar) as times",
+)
+def w5_load(spark, sf_dir):
+    """The load step twice over the same clean postings: accepted rows alone bring skills and links."""
+    base = storage.shared_folder(spark, "load")
+    sql(spark, sf_dir, _LOADED).write.parquet(f"{base}/clean/parquet")
+    for day in (1, 2):
+        loaded = batch_plan.load(spark, f"{base}/clean", f"{base}/warehouse", datetime(2025, 3, day, 6, tzinfo=timezone.utc))
+    jobs, skills = (storage.VersionedTable(spark, f"{base}/warehouse/{name}").read() for name in ("jobs", "skills"))
+    links = spark.read.parquet(f"{base}/warehouse/job_skills")
+    refused = spark.read.parquet(f"{base}/warehouse/rejected").where("batch = '20250302T060000'")
+    count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    times = F.array_join(F.array(*[F.date_format(F.min(name), "yyyy-MM-dd HH:mm:ss") for name in ("created_at", "updated_at")]), "|")
+    return jobs.agg(F.count(F.lit(1)).alias("jobs"), times.alias("times")).select(
+        F.lit(loaded).cast("bigint").alias("loaded"), "jobs", count(skills).alias("skills"), count(links).alias("links"),
+        count(refused).alias("refused"), "times",
+    )
+
+
 def _names(spark, sf_dir, column: str) -> DataFrame:
     return warehouse.skill_names(table(spark, sf_dir, "part"), column)
 
