@@ -38,6 +38,7 @@ from jobloom.llm.textkit import Words, mix, mixed, slices
 from jobloom.sources.storage import shared_folder
 
 ORDER, CUTOFF, REST = 2, 5, 0.05
+UNIT_BYTES = 8 << 20  # of text: a task holds a unit's n-grams of all lengths
 _END = np.uint64(mixed(1))
 _STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -296,14 +297,16 @@ def _score(order: int, levels: list[Level], unknown: float):
 def score(
     docs: DataFrame, trained: Column, order: int = ORDER, cutoff: int = CUTOFF, rest: float = REST, text: str = "text",
     key: str = "doc_id", carry: tuple[str, ...] = (), all_contexts: bool = False, folder: str | None = None,
+    unit_bytes: int = UNIT_BYTES,
 ) -> DataFrame:
     """row (the id and the carried columns), train, n_tokens, n_known, train_tokens, base_score, score.
 
-    The model stays in `folder` (a new one below the shared folder if none is named).
+    The model stays in `folder` (a new one below the shared folder if none is named). `unit_bytes` of
+    text make a unit: larger units send fewer repeats of an n-gram and take more memory.
     """
     spark = docs.sparkSession
     folder = folder or shared_folder(spark, "katz")
-    n = u.number_of_units(docs, text)
+    n = u.number_of_units(docs, text, unit_bytes)
     dealt = u.dealt(docs, n, text, key, carry, {"train": F.coalesce(trained, F.lit(False))})
     shape = dealt.schema["row"].dataType.simpleString()
 

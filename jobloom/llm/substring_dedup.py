@@ -133,10 +133,17 @@ def _cut(window: int):
 _NOTHING = pa.table({"row": []})
 
 
-def cut_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """row (the id and the carried columns), text, n_words, n_removed, kept, spans [start, end) of removed words."""
+def cut_repeats(
+    docs: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = (),
+    unit_bytes: int = u.UNIT_BYTES,
+) -> DataFrame:
+    """row (the id and the carried columns), text, n_words, n_removed, kept, spans [start, end) of removed words.
+
+    `unit_bytes` of text make a unit: larger units send fewer repeats and fewer, longer
+    rows, and take more memory.
+    """
     block = (window + 1) // 2
-    n = u.number_of_units(docs, text)
+    n = u.number_of_units(docs, text, unit_bytes)
     dealt = u.dealt(docs, n, text, key, carry)
     shape = dealt.schema["row"].dataType.simpleString()
     anchors = dealt.groupBy("unit").applyInArrow(_probe(block, n), u.SENT).groupBy("bucket").applyInArrow(_meet, u.ANSWERS)
