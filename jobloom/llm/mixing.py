@@ -7,7 +7,7 @@ document draws an exponential key divided by its quality weight, the documents o
 are ordered by key, and the first ones are taken until their words reach the budget;
 the document at the edge is taken if that comes nearer to it.
 
-No source is sorted as a whole. Keys fall into ordered buckets, the words per source and
+No source is sorted as a whole, and none meets its target in one task. Keys fall into ordered buckets, the words per source and
 bucket are summed, and only the bucket in which the budget ends is ordered by row. The
 text is read once: what later steps need is written to the shared folder.
 
@@ -28,6 +28,7 @@ from jobloom.sources.storage import shared_folder
 WEIGHTS = (5.0, 2.0, 1.0)
 EPOCHS = 3
 BUCKETS = 1024
+SALTS = 64
 
 
 def text_quality(text: Column) -> Column:
@@ -107,12 +108,16 @@ def mix(
         goal.alias("g").join(last.alias("l"), F.col("g.source").eqNullSafe(F.col("l.source")), "left")
         .select(F.col("g.source").alias("of"), "source_size", "target", "passes", F.col("bucket").alias("edge"), "cut")
     )
+    # One source may hold a third of all rows: its rows meet copies of its one decision.
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    decided = decided.withColumn("for_salt", F.explode(salts))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(SALTS)).cast("int"))
     once_more = (F.col("bucket") < F.col("edge")) | (
         (F.col("bucket") == F.col("edge")) & (F.struct("key", "number") <= F.col("cut"))
     )
     copies = F.when(F.col("size") > 0, F.col("passes") + F.coalesce(once_more, F.lit(False)).cast("long")).otherwise(0)
     return (
-        rows.join(decided, F.col("source").eqNullSafe(F.col("of")))
+        rows.join(decided, F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("for_salt")))
         .withColumn("copies", copies.cast("long"))
         .select(
             F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target",
