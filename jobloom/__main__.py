@@ -3,6 +3,7 @@
     python -m jobloom batch --feed-a PATH --feed-b PATH --base PATH
     python -m jobloom dashboard --base PATH --out PATH [--location NAME ...] [--from DAY] [--to DAY]
     python -m jobloom enrich --table PATH [--out PATH] [--strip auto|yes|no]
+    python -m jobloom runs --log PATH --out PATH [--dags PATH] [-n N] [--most N]
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession, functions as F
 
+from jobloom import schemas
+from jobloom.operators import runlog
 from jobloom.operators.cleaning import enrich_table
 from jobloom.plans.batch import run_batch
 from jobloom.plans.dashboard import Sizes, dashboard, write_sections
@@ -70,6 +73,16 @@ def _enrich(spark: SparkSession, args: argparse.Namespace) -> None:
         enriched.write.mode("overwrite" if args.out is None else "errorifexists").parquet(out)
 
 
+def _runs(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The run log as one overview: states, newest runs, and facts per workflow if given."""
+    runs = spark.read.schema(schemas.RUN).json(args.log)
+    parts = {"run_states": runlog.run_state_summary(runs), "recent_runs": runlog.recent_runs(runs, args.n, args.most)}
+    if args.dags:
+        parts["dags"] = runlog.dag_facts(spark.read.schema(schemas.DAG).json(args.dags))
+    for name, part in parts.items():
+        part.write.mode("overwrite").json(f"{args.out}/{name}")
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="jobloom", description=__doc__)
     commands = parser.add_subparsers(required=True)
@@ -92,6 +105,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     enrich.add_argument("--out")
     enrich.add_argument("--strip", choices=("auto", "yes", "no"), default="auto", help="strip HTML (auto: if any row has a tag)")
     enrich.set_defaults(run=_enrich)
+    runs = commands.add_parser("runs")
+    runs.add_argument("--log", required=True)
+    runs.add_argument("--dags")
+    runs.add_argument("--out", required=True)
+    runs.add_argument("-n", type=int, default=5)
+    runs.add_argument("--most", type=int)
+    runs.set_defaults(run=_runs)
     args = parser.parse_args(argv)
     args.run(spark or get_session(), args)
 

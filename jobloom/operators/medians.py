@@ -15,7 +15,9 @@ def _coarse(value: Column) -> Column:
     """A never-falling whole number of the value.
 
     All finite numbers together have fewer than six million buckets, and amounts
-    of money up to a billion fewer than 90,000, however many rows there are.
+    of money up to a billion fewer than 90,000, however many rows there are. The
+    buckets are meant for amounts: all values below 0.000244 share one, in which only
+    the fine buckets tell them apart.
     """
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _COARSE)
 

@@ -312,3 +312,12 @@ def test_missing_numbers_in_steps(spark):
         "salary_min double, description string, location string, is_remote boolean",
     ).withColumn("posted_date", F.lit(None).cast("date"))
     assert quality.step_counters(df).first()["with_salary"] == 1
+
+
+def test_run_overview(spark, tmp_path):
+    (tmp_path / "runs.json").write_text("\n".join(json.dumps({"dag_run_id": f"r{i}", "state": "success", "start_date": f"2025-03-0{i}"}) for i in range(1, 8)))
+    (tmp_path / "dags.json").write_text(json.dumps({"dag_id": "d", "tasks": [{"task_id": "t"}]}))
+    main(["runs", "--log", str(tmp_path / "runs.json"), "--dags", str(tmp_path / "dags.json"), "--out", str(tmp_path / "out"), "-n", "6"], spark)
+    assert spark.read.json(f"{tmp_path}/out/run_states").first()["runs"] == 7
+    assert {r["dag_run_id"] for r in spark.read.json(f"{tmp_path}/out/recent_runs").collect()} == {f"r{i}" for i in range(2, 8)}
+    assert spark.read.json(f"{tmp_path}/out/dags").first()["task_count"] == 1

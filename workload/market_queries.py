@@ -68,10 +68,7 @@ def a1(spark, sf_dir):
     ),
 )
 def a2(spark, sf_dir):
-    postings = on_clean(spark, sf_dir)
-    bounds = market.date_range(postings).select(F.struct("first_date", "last_date").alias("r")).scalar()
-    options = market.location_options(postings).withColumn("r", bounds)
-    return options.select(F.col("location").alias("option"), "r.first_date", "r.last_date")
+    return board.filter_options(on_clean(spark, sf_dir))
 
 
 @register(
