@@ -56,6 +56,20 @@ def c2(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", markup.strip_html("html").alias("description"))
 
 
+# References by name and number, one that is none, and one that is escaped twice.
+_REFERENCES = "<i> &lt;b&gt; &euro;5 &#233; &#x41; &hellip; &eacute; &unknown; &amp;lt;</i>"
+_DECODED = "<b> €5 é A … é &unknown; &lt;"
+
+
+@register(
+    "C2_strip_html_references",
+    f"select page_id, trim(concat({q.strip_html('html')}, ' {_DECODED}')) as description from pages",
+)
+def c2_references(spark, sf_dir):
+    html = F.concat("html", F.lit(_REFERENCES))
+    return table(spark, sf_dir, "pages").select("page_id", markup.strip_html(html).alias("description"))
+
+
 @register("C3_work_mode", raw(f"select job_id, {q.work_mode('location')} as work_mode from postings_raw"))
 def c3(spark, sf_dir):
     return on_raw(spark, sf_dir).select("job_id", fields.work_mode("location").alias("work_mode"))
