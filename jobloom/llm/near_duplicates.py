@@ -6,7 +6,8 @@ with equal sets are one class, and one of them stands for all.
 Every class has `trees` signatures of up to `longest` min-hashes. A tree is the trie of the
 signatures in sorted order; two classes meet in it where they share a prefix. From the longest
 prefix on, prefixes are shortened until a pair at the threshold meets in some tree with the
-target recall; texts that are more alike meet with near certainty. Classes that meet, directly or
+target recall; texts that are more alike meet with near certainty. No class stops at a longer
+prefix because it has met others there: every link counts, not only the nearest ones. Classes that meet, directly or
 through others, are a candidate group. Within it all pairs are verified on the shingle sets
 themselves, so what comes out is exact, and a pair that met nowhere may still be found.
 
