@@ -29,7 +29,7 @@ from jobloom.llm.textkit import slices
 CAPACITY = 2048
 WINDOW = 256
 END_ID = 1
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def place(sizes: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
