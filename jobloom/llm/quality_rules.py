@@ -87,11 +87,11 @@ def statistics(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.struct(F.col(key).alias("doc_id"), *[F.col(name) for name in carry if name != key]).alias("row"),
-        F.col(lang).alias("lang"), F.col(source).alias("source"), content.alias("content"),
+        F.col(lang).alias("lang"), F.col(source).alias("source"), content.alias("content"), F.xxhash64(F.col(text)).alias("mark"),
     ).withColumn("words", F.regexp_extract_all("content", F.lit(f"({WORD})"), F.lit(1)))
     lines = F.filter(F.split("content", "\n"), lambda line: line.rlike(WORD))
     rows = rows.select(
-        "row", "lang", "source", "words",
+        "row", "lang", "source", "mark", "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.regexp_replace("content", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("content", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -104,7 +104,7 @@ def statistics(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     # Short texts scatter more: their deviation from a common middle counts less.
     trust = F.sqrt(words / (words + 60.0))
     return rows.select(
-        "row", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "row", "lang", "source", "mark", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
         (trust * F.log(chars / words / 5.0)).alias("length"),
         (trust * F.log1p(F.col("n_symbols") / words)).alias("symbols"),
@@ -210,4 +210,23 @@ def judge(docs: DataFrame, tail: float = TAIL, least_rows: int = LEAST_ROWS, car
     return judged.withColumn("distance", _distance()).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= limit)).alias("kept"), "row",
+        "lang", "source", "mark",
     )
+
+
+def passing(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+    """The documents that the rules keep, with all their columns as they are.
+
+    The verdict depends on a document's text, language and source alone, so the rejected ones
+    are taken out by these; no text is stored on the way.
+    """
+    rejected = (
+        judge(docs, text=text, lang=lang, source=source, key=key, **options)
+        .where(~F.col("kept")).select("doc_id", "lang", "source", "mark").distinct()
+    )
+    whole = docs.select(F.struct("*").alias("whole"), F.xxhash64(F.col(text)).alias("own_mark"))
+    same = (
+        (F.col("own_mark") == F.col("mark")) & F.col("whole")[key].eqNullSafe(F.col("doc_id"))
+        & F.col("whole")[lang].eqNullSafe(F.col("lang")) & F.col("whole")[source].eqNullSafe(F.col("source"))
+    )
+    return whole.join(rejected, same, "left_anti").select("whole.*")

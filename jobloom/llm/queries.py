@@ -62,7 +62,7 @@ def curve_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_robust_outliers")
 def robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row")
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("row", "lang", "source", "mark")
 
 
 _TOP_K = """
