@@ -20,7 +20,7 @@ from jobloom.sources.storage import shared_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(docs, carry=tuple(docs.columns)).where("kept").select("row.*").select(*docs.columns)
+    return quality_rules.passing(docs)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
