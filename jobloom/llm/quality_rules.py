@@ -1,14 +1,16 @@
 """Robust multivariate outliers among document statistics (operator 10), DataFrame functions only.
 
 Per language and source the centre and scatter of a transformed statistic vector are
-estimated by minimum covariance determinant: from coordinate-wise medians, concentration
-steps keep the rows nearest to the last estimate and take their mean and covariance again.
-Rows whose squared Mahalanobis distance exceeds a chi-square quantile are rejected,
-after the base rules (too short, too repetitive) have rejected theirs.
+estimated by minimum covariance determinant: from three robust scatters around the
+coordinate-wise medians, concentration steps keep the half of the rows nearest to the last
+estimate and take their mean and covariance again, until the determinant falls no more. The
+start with the least determinant counts; its estimate is taken once more from all rows
+within the 0.975 quantile. Rows whose squared Mahalanobis distance exceeds a chi-square
+quantile are rejected, after the base rules (too short, too repetitive) have rejected theirs.
 
 The texts are read once; statistics go to the shared folder, and every step is one
-pre-aggregated pass over those narrow rows. A group holds one small row of sums and one
-quantile sketch, however many rows it has, so a source with a third of all rows is
+or two pre-aggregated passes over those narrow rows. A group holds per start one small row of
+sums and one quantile sketch, however many rows it has, so a source with a third of all rows is
 no hot spot. Groups below `least_rows` are estimated together per language, and
 what is still too small, together. Variances have a floor per statistic: where nearly
 all rows agree (no symbols at all), a small deviation does not make an outlier.
@@ -21,6 +23,7 @@ empty table gives no rows; carried columns lie in a struct, so their names clash
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,13 +34,13 @@ from jobloom.sources.storage import shared_folder
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-KEPT_SHARE = 0.75  # of a group's rows that a concentration step keeps
-STEPS = 2
+KEPT_SHARE = 0.5  # of a group's rows that a concentration step keeps: nearly half may be off
+LEAST_FALL = 1e-6  # of a determinant's logarithm; below, it has settled
+TRUSTED = 0.975  # share of Gaussian rows that the last estimate takes in
 TAIL = 1e-7  # chance that a Gaussian row is rejected
 LEAST_ROWS = 60
 FLOORS = {"length": 0.04, "symbols": 0.05, "capitals": 0.04}  # least standard deviations
 VECTOR = tuple(FLOORS)
-PAIRS = list(combinations_with_replacement(range(len(VECTOR)), 2))
 
 
 def _gamma_share(a: float, x: float) -> float:
@@ -135,66 +138,127 @@ def _groups(rows: DataFrame, least: int) -> DataFrame:
     return rows.join(named, match).drop("of_lang", "of_source").withColumn("group", F.to_json("group"))
 
 
-def _inverse(moments: DataFrame, scale: float) -> DataFrame:
-    """From mean m0.. and covariance c00.. of each group: the inverse of the floored, scaled covariance."""
-    floors = list(FLOORS.values())
-    c = {(i, j): F.col(f"c{i}{j}") * scale + (floors[i] ** 2 if i == j else 0.0) for i, j in PAIRS}
-    m = lambda i, j: c[min(i, j), max(i, j)]
-    cofactor = lambda i, j: (
-        m((i + 1) % 3, (j + 1) % 3) * m((i + 2) % 3, (j + 2) % 3) - m((i + 1) % 3, (j + 2) % 3) * m((i + 2) % 3, (j + 1) % 3)
-    )
-    with_cofactors = moments.select("group", *[F.col(f"m{i}") for i in range(3)], *[cofactor(i, j).alias(f"k{i}{j}") for i, j in PAIRS], *[m(0, j).alias(f"r{j}") for j in range(3)])
-    determinant = F.col("r0") * F.col("k00") + F.col("r1") * F.col("k01") + F.col("r2") * F.col("k02")
-    return with_cofactors.select("group", *[F.col(f"m{i}") for i in range(3)], *[(F.col(f"k{i}{j}") / determinant).alias(f"v{i}{j}") for i, j in PAIRS])
+def _held(rows: DataFrame) -> list[str]:
+    """The statistics among the columns, in the order of m0.., v00.. ."""
+    return [name for name in FLOORS if name in rows.columns]
+
+
+def _pairs(size: int) -> list[tuple[int, int]]:
+    return list(combinations_with_replacement(range(size), 2))
+
 
+def _inverse(moments: DataFrame, keys: list[str], names: list[str], scale: float) -> DataFrame:
+    """From mean m0.. and covariance c00..: the inverse v00.. of the floored, scaled covariance, and log_det of the latter.
 
-def _distance() -> Column:
+    By Cholesky factor l and its inverse w, a column of the matrix per projection.
+    """
+    size = range(len(names))
+    least = [FLOORS[name] ** 2 for name in names]
+    rows = moments
+    for j in size:
+        # With the floors added, no pivot is below its floor but for rounding.
+        pivot = F.col(f"c{j}{j}") * scale + least[j] - sum((F.pow(F.col(f"l{j}{k}"), 2) for k in range(j)), F.lit(0.0))
+        rows = rows.withColumn(f"l{j}{j}", F.sqrt(F.greatest(pivot, F.lit(least[j]))))
+        below = {
+            f"l{i}{j}": (F.col(f"c{j}{i}") * scale - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}")
+            for i in size if i > j
+        }
+        rows = rows.withColumns(below) if below else rows
+    for i in size:
+        row = {f"w{i}{j}": -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}{i}") for j in range(i)}
+        rows = rows.withColumns(row | {f"w{i}{i}": 1.0 / F.col(f"l{i}{i}")})
+    inverse = [sum((F.col(f"w{k}{i}") * F.col(f"w{k}{j}") for k in size if k >= j), F.lit(0.0)).alias(f"v{i}{j}") for i, j in _pairs(len(names))]
+    log_det = sum((2 * F.log(F.col(f"l{j}{j}")) for j in size), F.lit(0.0)).alias("log_det")
+    return rows.select(*keys, *[f"m{i}" for i in size], *inverse, log_det)
+
+
+def _distance(names: list[str]) -> Column:
     """Squared Mahalanobis distance under the joined estimate."""
-    d = [F.col(name) - F.col(f"m{i}") for i, name in enumerate(VECTOR)]
-    return sum((F.col(f"v{i}{j}") * d[i] * d[j] * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
+    d = [F.col(name) - F.col(f"m{i}") for i, name in enumerate(names)]
+    return sum((F.col(f"v{i}{j}") * d[i] * d[j] * (1 if i == j else 2) for i, j in _pairs(len(names))), F.lit(0.0))
 
 
-def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    return rows.alias("r").join(estimate.alias("e"), _same("r", "e")).select("r.*", _distance().alias("distance"))
+def _measured(rows: DataFrame, estimate: DataFrame, names: list[str], *more: str) -> DataFrame:
+    return rows.alias("r").join(estimate.alias("e"), _same("r", "e")).select("r.*", *more, _distance(names).alias("distance"))
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    columns = [F.avg(name).alias(f"m{i}") for i, name in enumerate(VECTOR)]
-    columns += [F.covar_pop(VECTOR[i], VECTOR[j]).alias(f"c{i}{j}") for i, j in PAIRS]
-    return rows.groupBy("group").agg(*columns)
+def _moments(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    columns = [F.avg(name).alias(f"m{i}") for i, name in enumerate(names)]
+    columns += [F.covar_pop(names[i], names[j]).alias(f"c{i}{j}") for i, j in _pairs(len(names))]
+    return rows.groupBy(*keys).agg(*columns)
 
 
-def estimate(rows: DataFrame, steps: int = STEPS, share: float = KEPT_SHARE) -> DataFrame:
-    """Per group the robust centre m0.. and inverse scatter v00.., from rows with `group` and the vector.
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_folder(df.sparkSession, "mcd")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    Every step's estimate, one row per group, is written to the shared folder.
-    """
-    spark = rows.sparkSession
-    freedom = len(VECTOR)
-    within = _gamma_share((freedom + 2) / 2, chi_square_quantile(share, freedom) / 2)
 
-    def written(df: DataFrame) -> DataFrame:
-        path = shared_folder(spark, "mcd")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+def _scale(share: float, freedom: int) -> float:
+    """Of a Gaussian's covariance among the nearest `share` of its rows to the whole one."""
+    return share / _gamma_share((freedom + 2) / 2, chi_square_quantile(share, freedom) / 2)
 
-    middles = rows.groupBy("group").agg(*[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(VECTOR)])
-    spread = (
+
+def _starts(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Per group three robust estimates around the coordinate-wise medians, scaled by the median deviations:
+    without correlation (0), with that of the scaled deviations' tanh (1), with that of their directions (2)."""
+    size, pairs = range(len(names)), _pairs(len(names))
+    middles = _written(rows.groupBy("group").agg(*[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(names)]))
+    spreads = (
         rows.alias("r").join(middles.alias("e"), _same("r", "e"))
         .groupBy(F.col("r.group").alias("group"))
         .agg(
-            *[F.first(f"m{i}").alias(f"m{i}") for i in range(freedom)],
-            *[F.pow(1.4826 * F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5), 2).alias(f"c{i}{i}") for i, name in enumerate(VECTOR)],
-            *[F.lit(0.0).alias(f"c{i}{j}") for i, j in PAIRS if i != j],
+            *[F.first(f"m{i}").alias(f"m{i}") for i in size],
+            *[(1.4826 * F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5)).alias(f"s{i}") for i, name in enumerate(names)],
         )
     )
-    now = written(_inverse(spread, 1.0))
-    for _ in range(steps):
-        measured = _measured(rows, now)
-        limits = measured.groupBy("group").agg(F.percentile_approx("distance", share).alias("limit"))
-        near = measured.alias("r").join(limits.alias("l"), _same("r", "l")).where(F.col("distance") <= F.col("limit")).select("r.*")
-        now = written(_inverse(_moments(near), share / within))
-    return now
+    spreads = _written(spreads)
+    z = [(F.col(name) - F.col(f"m{i}")) / F.sqrt(F.pow(F.col(f"s{i}"), 2) + FLOORS[name] ** 2) for i, name in enumerate(names)]
+    scaled = rows.alias("r").join(spreads.alias("e"), _same("r", "e")).select(F.col("r.group").alias("group"), *[x.alias(f"z{i}") for i, x in enumerate(z)])
+    norm = F.greatest(sum((F.pow(F.col(f"z{i}"), 2) for i in size), F.lit(0.0)), F.lit(1e-12))
+    products = scaled.groupBy("group").agg(
+        *[F.avg(F.tanh(f"z{i}") * F.tanh(f"z{j}")).alias(f"t{i}{j}") for i, j in pairs],
+        *[F.avg(F.col(f"z{i}") * F.col(f"z{j}") / norm).alias(f"d{i}{j}") for i, j in pairs],
+    )
+
+    def correlation(kind: str, i: int, j: int) -> Column:
+        both = F.sqrt(F.col(f"{kind}{i}{i}") * F.col(f"{kind}{j}{j}"))
+        return F.when(both > 0, F.col(f"{kind}{i}{j}") / both).otherwise(0.0)
+
+    def start(number: int, of: Callable[[int, int], Column]) -> Column:
+        scatter = [(F.col(f"s{i}") * F.col(f"s{j}") * (1.0 if i == j else of(i, j))).alias(f"c{i}{j}") for i, j in pairs]
+        return F.struct(F.lit(number).alias("start"), *[F.col(f"m{i}") for i in size], *scatter)
+
+    each = [start(0, lambda i, j: F.lit(0.0)), start(1, lambda i, j: correlation("t", i, j)), start(2, lambda i, j: correlation("d", i, j))]
+    return products.join(spreads, "group").select("group", F.explode(F.array(*each)).alias("at")).select("group", "at.*")
+
+
+def estimate(rows: DataFrame, steps: int | None = None, share: float = KEPT_SHARE) -> DataFrame:
+    """Per group the robust centre m0.. and inverse scatter v00.., from rows with `group` and statistics.
+
+    From each start, concentration steps go on until the determinant falls no more (or for `steps`
+    of them); the least determinant of a group is kept and reweighted once. Every step's
+    estimates, a row per group and start, are written to the shared folder; a pass joins
+    only those that still fall.
+    """
+    names = _held(rows)
+    keys, found = ["group", "start"], [f"m{i}" for i in range(len(names))] + [f"v{i}{j}" for i, j in _pairs(len(names))] + ["log_det"]
+    now = _inverse(_starts(rows, names), keys, names, 1.0)
+    now = _written(now.withColumns({"log_det": F.lit(math.inf), "falls": F.lit(True)}))
+    done = 0
+    while (steps is None or done < steps) and not now.where("falls").isEmpty():
+        falling = now.where("falls")
+        limits = _measured(rows, falling, names, "start").groupBy(*keys).agg(F.percentile_approx("distance", share).alias("limit"))
+        limits = _written(falling.join(limits, keys))
+        near = _measured(rows, limits, names, "start", "limit").where(F.col("distance") <= F.col("limit"))
+        then = _inverse(_moments(near, keys, names), keys, names, _scale(share, len(names)))
+        pair = now.alias("now").join(then.alias("then"), keys, "left")
+        fell = F.coalesce(F.col("then.log_det") < F.col("now.log_det") - LEAST_FALL, F.lit(False))
+        now = _written(pair.select(*keys, *[F.when(fell, F.col(f"then.{x}")).otherwise(F.col(f"now.{x}")).alias(x) for x in found], fell.alias("falls")))
+        done += 1
+    best = now.groupBy("group").agg(F.min_by(F.struct(*found), F.struct("log_det", "start")).alias("best")).select("group", "best.*")
+    trusted = _measured(rows, _written(best), names).where(F.col("distance") <= chi_square_quantile(TRUSTED, len(names)))
+    return _written(_inverse(_moments(trusted, ["group"], names), ["group"], names, _scale(TRUSTED, len(names))))
 
 
 def judge(docs: DataFrame, tail: float = TAIL, least_rows: int = LEAST_ROWS, carry: tuple[str, ...] = (), **columns: str) -> DataFrame:
@@ -203,11 +267,11 @@ def judge(docs: DataFrame, tail: float = TAIL, least_rows: int = LEAST_ROWS, car
     path = shared_folder(spark, "statistics")
     statistics(docs, carry=carry, **columns).write.parquet(path)
     rows = _groups(spark.read.parquet(path), least_rows)
-    sound = rows.where(~F.col("base_failed")).select("group", *VECTOR)
+    sound = _written(rows.where(~F.col("base_failed")).select("group", *VECTOR))
     found = estimate(sound)
     limit = chi_square_quantile(1 - tail, len(VECTOR))
     judged = rows.alias("r").join(found.alias("e"), _same("r", "e"), "left")
-    return judged.withColumn("distance", _distance()).select(
+    return judged.withColumn("distance", _distance(list(VECTOR))).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "distance", (~F.col("base_failed") & (F.col("distance") <= limit)).alias("kept"), "row",
         "lang", "source", "mark",

@@ -75,3 +75,22 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert quality_rules.judge(no_docs).collect() == []
     pooled = quality_rules.judge(odd_docs.withColumn("source", F.col("doc_id").cast("string")), least_rows=3)
     assert pooled.count() == len(odd_rows)
+
+
+@pytest.mark.parametrize("share", [0.3, 0.4])
+@pytest.mark.parametrize("far", [1.0, 3.0])
+def test_many_outliers_in_one_source(spark, share, far):
+    random = np.random.default_rng(11)
+    n, p = 2000, len(quality_rules.VECTOR)
+    off = np.arange(n) < share * n
+    values = random.normal(0, 0.05, (n, p)) + np.where(off, far, 0.0)[:, None] * np.eye(p)[1]
+    data = [("hot", bool(o), *map(float, x)) for o, x in zip(off, values, strict=True)]
+    data += [("calm", False, *map(float, x)) for x in random.normal(0, 0.05, (500, p))]
+    frame = spark.createDataFrame(data, "group string, off boolean, " + ", ".join(f"{name} double" for name in quality_rules.VECTOR))
+    found = {row["group"]: row for row in quality_rules.estimate(frame.drop("off").repartition(4)).collect()}
+    limit = quality_rules.chi_square_quantile(1 - quality_rules.TAIL, p)
+    for group, outlier, *x in data:
+        row = found[group]
+        d = np.array(x) - [row[f"m{i}"] for i in range(p)]
+        inverse = np.array([[row[f"v{min(i, j)}{max(i, j)}"] for j in range(p)] for i in range(p)])
+        assert (d @ inverse @ d > limit) == outlier
