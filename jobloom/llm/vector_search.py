@@ -11,17 +11,23 @@ Queries and cells meet in blocks of bounded size. Equal vectors are one class wi
 smallest ids, which is all a result can need, so any number of copies costs one scan. Scores are
 compared per class; ids are put in, and a query's own row dropped, at the end.
 
-Defined cases: vectors that are null, hold a null or a non-finite component, or a component
-beyond +-2**24 after scaling (the score must fit a long) take no part; vectors of unlike lengths never
-meet; a null id is no query and comes last among ties; a repeated row is a candidate for its twin; an empty
+Scores are exact: in longs where the largest components allow, else in whole numbers of any size.
+Components are stored as whole doubles, so their size has no limit; where even the bounds do not fit
+a double, the pair counts as open. Only a result row whose score does not fit a long is an error.
+
+Defined cases: vectors that are null or hold a null or a non-finite component take no part; vectors
+of unlike lengths never meet; a null id is no query and comes last among ties; a repeated row is a candidate for its twin; an empty
 table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.window import Window
 
 from jobloom.sources.storage import shared_folder
@@ -30,7 +36,7 @@ CELLS = 64
 CELL_BLOCK = 16_384
 QUERY_BLOCK = 2_048
 LEAST_BLOCKS = 64
-LARGEST = 1 << 24
+SURE = float(1 << 62)  # sums of products below fit a long, whatever the rounding of the bound
 _CHUNK = 2_048
 
 
@@ -41,11 +47,18 @@ def _written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def quantised(vectors: DataFrame, scale: float, vector: str, key: str) -> DataFrame:
-    """(vec_id, v): floor(scale * component) as longs, usable vectors only."""
-    scaled = F.transform(F.col(vector), lambda x: x.cast("double") * scale)
-    usable = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > LARGEST))
-    rows = vectors.select(F.col(key).alias("vec_id"), scaled.alias("v")).where(F.col("v").isNotNull())
-    return rows.where(F.coalesce(usable, F.lit(False))).withColumn("v", F.transform("v", lambda x: F.floor(x)))
+    """(vec_id, v): floor(scale * component) as whole doubles, vectors of finite components only."""
+    given = F.transform(F.col(vector), lambda x: x.cast("double"))
+    usable = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == math.inf))
+    rows = vectors.select(F.col(key).alias("vec_id"), given.alias("v")).where(F.col("v").isNotNull())
+
+    def whole(x: Column) -> Column:
+        # From 2**53 on every double is whole; floor() gives longs.
+        near = F.abs(x) < float(1 << 53)
+        lost = F.raise_error(F.lit("a component does not fit a double after scaling"))
+        return F.when(near, F.floor(x).cast("double")).when(F.abs(x) == math.inf, lost).otherwise(x)
+
+    return rows.where(F.coalesce(usable, F.lit(False))).withColumn("v", F.transform("v", lambda x: whole(x * scale)))
 
 
 def _classes(rows: DataFrame, k: int) -> DataFrame:
@@ -61,7 +74,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
-def _scan(low: int, width: int, wanted: int):
+def _scan(low: float, width: float, wanted: int):
     """Bounds of a block of queries against a block of cells: per query the classes that may count."""
     half = (width - 1) / 2
 
@@ -72,12 +85,17 @@ def _scan(low: int, width: int, wanted: int):
             ids = cells["class"].to_numpy()
             codes = np.frombuffer(b"".join(cells["codes"].to_pylist()), np.uint8).reshape(len(ids), q.shape[1])
             size = np.abs(q).sum(1)
-            slack = (size * half)[:, None]
-            slack = slack + 1e-9 * slack + 1e-12 * (size * (abs(low) + 256 * width))[:, None]
+            with np.errstate(over="ignore", invalid="ignore"):
+                slack = (size * half)[:, None]
+                slack = slack + 1e-9 * slack + 1e-12 * (size * (abs(low) + 256 * width))[:, None]
+            wild = ~np.isfinite(slack[:, 0])  # nothing is known of their scores
+            slack[wild] = np.inf
             kept: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(q)
             for at in range(0, len(ids), _CHUNK):
                 centre = low + codes[at : at + _CHUNK].astype(np.float64) * width + half
-                middle = q @ centre.T
+                with np.errstate(over="ignore", invalid="ignore"):
+                    middle = q @ centre.T
+                middle[wild] = 0.0
                 cut = np.full(len(q), -np.inf)
                 if middle.shape[1] >= wanted:
                     cut = np.partition(middle, -wanted, axis=1)[:, -wanted]
@@ -100,11 +118,33 @@ def _scan(low: int, width: int, wanted: int):
     return run
 
 
-def _scored(pairs: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Exact integer scores of (query, class) pairs."""
+@F.udf(ArrayType(LongType()))
+def _any_size(q, v):
+    """The exact score and 0; or, beyond a long, 0 and the side on which it lies."""
+    if q is None:
+        return None
+    score = sum(int(a) * int(b) for a, b in zip(q, v, strict=True))
+    return [score, 0] if -(1 << 63) <= score < 1 << 63 else [0, 1 if score > 0 else -1]
+
+
+def _scored(pairs: DataFrame, queries: DataFrame, classes: DataFrame, sure: bool) -> DataFrame:
+    """Exact integer scores of (query, class) pairs, and `beyond`: -1 or 1 for those below or above a long.
+
+    `sure`: every score fits a long, and no Python is needed.
+    """
     asked = queries.select(F.col("class").alias("query"), F.col("v").alias("q"))
     read = pairs.join(classes.select("class", "v"), "class").join(asked, "query")
-    return read.select(*pairs.columns, F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x).alias("score"))
+    product = F.zip_with("q", "v", lambda a, b: a.cast("long") * b.cast("long"))
+    score = F.aggregate(product, F.lit(0).cast("long"), lambda s, x: s + x)
+    if sure:
+        return read.select(*pairs.columns, score.alias("score"), F.lit(0).cast("long").alias("beyond"))
+    most = lambda name: F.coalesce(F.array_max(F.transform(name, F.abs)), F.lit(0.0))
+    read = read.withColumn("fits", (most("q") < SURE) & (most("v") < SURE) & (most("q") * most("v") * F.size("v") < SURE))
+    large = read.withColumn("large", _any_size(F.when(~F.col("fits"), F.col("q")), F.when(~F.col("fits"), F.col("v"))))
+    return large.select(
+        *pairs.columns, F.when(F.col("fits"), score).otherwise(F.col("large")[0]).alias("score"),
+        F.when(F.col("fits"), F.lit(0).cast("long")).otherwise(F.col("large")[1]).alias("beyond"),
+    )
 
 
 def top_k(
@@ -117,15 +157,17 @@ def top_k(
     classes = _classes(rows, k)
     asking = _written(rows.where(is_query).join(classes.select("class", "v"), "v").select("class", F.col("vec_id").alias("query_id")), "asking")
     queries = _written(asking.select("class").distinct().join(classes.select("class", "v"), "class"), "queries")
-    bounds = classes.agg(F.count("*").alias("n"), F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high")).first()
+    bounds = classes.agg(F.count("*").alias("n"), F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high"), F.max(F.size("v")).alias("length")).first()
     n_queries = queries.count()
-    low, high = bounds["low"] or 0, bounds["high"] or 0
-    width = (high - low) // min(cells, 256) + 1
+    low, high = int(bounds["low"] or 0), int(bounds["high"] or 0)
+    width = float((high - low) // min(cells, 256) + 1)
+    sure = max(abs(low), abs(high)) ** 2 * (bounds["length"] or 0) < SURE
+    low = float(low)
     blocks = max(-(-bounds["n"] // cell_block), LEAST_BLOCKS)
     query_blocks = max(-(-n_queries // query_block), 1)
 
     place = F.struct(F.size("v").alias("length"), F.col("q"), F.col("c")).alias("at")
-    cell = F.transform("v", lambda x: F.lpad(F.hex(F.floor((x - low) / width)), 2, "0"))
+    cell = F.transform("v", lambda x: F.lpad(F.hex(F.floor(F.least((x - low) / width, F.lit(255.0)))), 2, "0"))
     left = (
         queries.withColumn("q", F.pmod(F.xxhash64("class"), F.lit(query_blocks)).cast("int"))
         .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -146,24 +188,27 @@ def top_k(
     open_ = near.join(certain, "query").where(F.col("certain").isNull() | (F.col("upper") >= F.col("certain")))
     in_order = Window.partitionBy("query").orderBy(F.desc("upper"), "class")
     open_ = _written(open_.withColumn("n", F.row_number().over(in_order)).select("query", "class", "upper", "n"), "open")
-    first = _written(_scored(open_.where(F.col("n") <= wanted), queries, classes), "first")
-    least = first.groupBy("query").agg(F.when(F.count("*") == wanted, F.min("score")).alias("least"))
+    first = _written(_scored(open_.where(F.col("n") <= wanted), queries, classes, sure), "first")
+    # Not above the true score: one above a long counts as the largest long, nothing is known of one below.
+    known = F.when(F.col("beyond") == 0, F.col("score").cast("double")).when(F.col("beyond") > 0, float(1 << 63)).otherwise(-math.inf)
+    least = first.groupBy("query").agg(F.when(F.count("*") == wanted, F.min(known)).alias("least"))
     later = open_.where(F.col("n") > wanted).join(least, "query").where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
-    scored = first.select("query", "class", "score").unionByName(
-        _scored(later.select("query", "class"), queries, classes).select("query", "class", "score")
+    scored = first.select("query", "class", "score", "beyond").unionByName(
+        _scored(later.select("query", "class"), queries, classes, sure).select("query", "class", "score", "beyond")
     )
-    by_score = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
+    by_score = Window.partitionBy("query").orderBy(F.desc("beyond"), F.desc("score"), F.col("vec_id").asc_nulls_last())
     best = (
         scored.join(classes.select("class", "ids"), "class")
-        .select("query", "score", F.explode("ids").alias("vec_id"))
+        .select("query", "score", "beyond", F.explode("ids").alias("vec_id"))
         .withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= wanted)
-        .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("best"))
+        .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score", "beyond"))).alias("best"))
     )
     own = F.array_position(F.transform("best", lambda b: F.coalesce(b["vec_id"] == F.col("query_id"), F.lit(False))), True).cast("int")
     others = F.slice(F.filter("best", lambda b, i: F.col("own") != i + 1), 1, k)
+    lost = F.raise_error(F.lit("a score does not fit a long"))
     return (
         asking.join(best, asking["class"] == best["query"])
         .withColumn("own", own)
         .select("query_id", F.posexplode(others).alias("place", "b"))
-        .select("query_id", (F.col("place") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score"))
+        .select("query_id", (F.col("place") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.when(F.col("b.beyond") != 0, lost).otherwise(F.col("b.score")).alias("score"))
     )

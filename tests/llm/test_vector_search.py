@@ -2,6 +2,7 @@ import collections
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobloom.llm import vector_search
@@ -48,3 +49,18 @@ def test_odd_vectors(spark):
     assert found(spark, rows) == brute(rows)
     assert not found(spark, [(500, [70000.0, 1.0]), (1, [1.0, 1.0])])
     assert not found(spark, [])
+
+
+def test_large_components(spark):
+    draw = random.Random(2)
+    rows = [(i, [draw.randint(-64, 64) / 128 for _ in range(3)]) for i in range(120)]
+    assert found(spark, (few := [(500, [70000.0, 1.0]), (1, [1.0, 1.0])])) == brute(few)
+    assert found(spark, [*rows, (500, [70000.0, 1.0, -3.0]), (501, [-70000.0, 1.0, -3.0]), (502, [3e6, 3e6, 1.0])]) == brute(
+        [*rows, (500, [70000.0, 1.0, -3.0]), (501, [-70000.0, 1.0, -3.0]), (502, [3e6, 3e6, 1.0])]
+    )
+    # Beyond a long are the components, their own square and single products, but no score.
+    wild = [(0, [2.0**100, 2.0**100, 1.0]), (1, [2.0**90, -(2.0**90), 2.0]), (2, [0.0, 0.0, 5.0]), (50, [0.0, 0.0, 7.0]), (3, [2.0**14, -(2.0**14), 9.0])]
+    assert found(spark, wild) == brute(wild)
+    with pytest.raises(Exception, match="does not fit a long"):
+        found(spark, [(0, [2.0**100, 1.0]), (1, [1.0, 1.0])])
+    assert not found(spark, [])
