@@ -1,7 +1,7 @@
 """Robust multivariate outliers among document statistics (operator 10), DataFrame functions only.
 
-Per language and source the centre and scatter of a transformed statistic vector are
-estimated by minimum covariance determinant: from three robust scatters around the
+Per language and source the centre and scatter of a transformed statistic vector (word
+length, symbols, capitals, repeated lines, repeated words) are estimated by minimum covariance determinant: from three robust scatters around the
 coordinate-wise medians, concentration steps keep the half of the rows nearest to the last
 estimate and take their mean and covariance again, until the determinant falls no more. The
 start with the least determinant counts; its estimate is taken once more from all rows
@@ -39,7 +39,7 @@ LEAST_FALL = 1e-6  # of a determinant's logarithm; below, it has settled
 TRUSTED = 0.975  # share of Gaussian rows that the last estimate takes in
 TAIL = 1e-7  # chance that a Gaussian row is rejected
 LEAST_ROWS = 60
-FLOORS = {"length": 0.04, "symbols": 0.05, "capitals": 0.04}  # least standard deviations
+FLOORS = {"length": 0.04, "symbols": 0.05, "capitals": 0.04, "same_lines": 0.03, "same_words": 0.014}  # least standard deviations
 VECTOR = tuple(FLOORS)
 
 
@@ -112,6 +112,9 @@ def statistics(docs: DataFrame, text: str = "text", lang: str = "lang", source:
         (trust * F.log(chars / words / 5.0)).alias("length"),
         (trust * F.log1p(F.col("n_symbols") / words)).alias("symbols"),
         (trust * F.log1p(4.0 * F.col("n_capitals") / chars)).alias("capitals"),
+        # One line said twice in a short text is usual; the added lines and words make its share small.
+        (trust * F.log1p(F.col("n_dup_lines") / (F.size("lines") + 8.0))).alias("same_lines"),
+        (trust * F.log1p(F.col("n_repeat_words") / (words + 200.0))).alias("same_words"),
     )
 
 

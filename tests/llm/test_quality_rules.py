@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import numpy as np
@@ -80,12 +81,12 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
 @pytest.mark.parametrize("share", [0.3, 0.4])
 @pytest.mark.parametrize("far", [1.0, 3.0])
 def test_many_outliers_in_one_source(spark, share, far):
-    random = np.random.default_rng(11)
+    draw = np.random.default_rng(11)
     n, p = 2000, len(quality_rules.VECTOR)
     off = np.arange(n) < share * n
-    values = random.normal(0, 0.05, (n, p)) + np.where(off, far, 0.0)[:, None] * np.eye(p)[1]
+    values = draw.normal(0, 0.05, (n, p)) + np.where(off, far, 0.0)[:, None] * np.eye(p)[1]
     data = [("hot", bool(o), *map(float, x)) for o, x in zip(off, values, strict=True)]
-    data += [("calm", False, *map(float, x)) for x in random.normal(0, 0.05, (500, p))]
+    data += [("calm", False, *map(float, x)) for x in draw.normal(0, 0.05, (500, p))]
     frame = spark.createDataFrame(data, "group string, off boolean, " + ", ".join(f"{name} double" for name in quality_rules.VECTOR))
     found = {row["group"]: row for row in quality_rules.estimate(frame.drop("off").repartition(4)).collect()}
     limit = quality_rules.chi_square_quantile(1 - quality_rules.TAIL, p)
@@ -94,3 +95,18 @@ def test_many_outliers_in_one_source(spark, share, far):
         d = np.array(x) - [row[f"m{i}"] for i in range(p)]
         inverse = np.array([[row[f"v{min(i, j)}{max(i, j)}"] for j in range(p)] for i in range(p)])
         assert (d @ inverse @ d > limit) == outlier
+
+
+def test_repeats_below_the_base_rule(spark):
+    draw = random.Random(4)
+    vocabulary = ["".join(draw.choices("abcdefgh", k=draw.randint(2, 7))) for _ in range(400)]
+    line = lambda n: " ".join(draw.choices(vocabulary, k=n))
+    clean = ["\n".join(line(draw.randint(6, 9)) for _ in range(draw.randint(20, 60))) for _ in range(150)]
+    short, twice = line(3), line(80)
+    lines = "\n".join(f"{short}\n{line(draw.randint(6, 9))}" for _ in range(40))
+    words = f"{line(300)} {twice} {line(300)} {twice}"
+    rows = [(i, text, "en", "a", 5) for i, text in enumerate([*clean, lines, words])]
+    judged = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not any(r["base_failed"] for r in judged.values())
+    assert judged[150]["n_dup_lines"] == 39 and judged[151]["n_repeat_words"] == 160
+    assert [i for i, r in judged.items() if not r["kept"]] in ([150, 151], [151, 150])
