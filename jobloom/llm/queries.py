@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_search
+from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_codes, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,3 +153,48 @@ def katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         F.col("row.doc_id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """The same rounds by comparing every part with every entry; doubles hold all distances exactly."""
+    steps = [
+        """vectors as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)""",
+        f"""pieces as materialized (
+  select vec_id, label, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] as q from vectors, range({parts}) r(p)
+)""",
+        f"""book0 as materialized (
+  select p, entry, q as c from (select p, q, row_number() over (partition by p order by vec_id) - 1 as entry from pieces) where entry < {entries}
+)""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""near{n} as materialized (
+  select vec_id, label, p, q, unnest(best) from (
+    select vec_id, any_value(label) as label, p, any_value(q) as q,
+      min({{'d': list_dot_product(q, q) + list_dot_product(c, c) - 2 * list_dot_product(q, c), 'entry': entry}}) as best
+    from pieces join book{n} using (p) group by vec_id, p)
+)""")
+        if n < rounds:
+            steps.append(f"""mean{n} as (
+  select p, entry, list(m order by place) as c from (
+    select p, entry, place, floor(sum(x) / count(*)) as m from (select p, entry, unnest(q) as x, generate_subscripts(q, 1) as place from near{n})
+    group by all) group by p, entry
+), book{n + 1} as materialized (
+  select p, entry, coalesce(m.c, b.c) as c from book{n} b left join mean{n} m using (p, entry)
+)""")
+    return f"""
+with {", ".join(steps)}, coded as (
+  select vec_id, any_value(label) as label, string_agg(printf('%02x', entry), '' order by p) as code, sum(d)::bigint as error
+  from near{rounds} group by vec_id
+), hashed as (
+  select sha256(string_agg(array_to_string(list_transform(c, lambda x: x::bigint), ','), ',' order by p, entry)) as h from book{rounds}
+)
+select vec_id, label, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256 from coded, hashed
+"""
+
+
+@register("op11_gnat_codes", _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS))
+def gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
