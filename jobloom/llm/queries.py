@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_codes, vector_search
+from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_codes, vector_search, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,3 +198,9 @@ select vec_id, label, code, error, (sum(error) over (partition by label))::bigin
 @register("op11_gnat_codes", _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS))
 def gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_exact_whitening")
+def exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
