@@ -38,10 +38,10 @@ SCALE = 1024
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
-SPLITS = 12
-LEAF = 10
+SPLITS = 8
+LEAF = 64
 _BLOCK = 32  # entries whose sums travel in one row
-_CHUNK = 4096
+_CHUNK = 16_384
 _SLACK = 1e-12
 
 
