@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobloom.llm import katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_codes, vector_search, whitening
+from jobloom.llm import chat_format, katz, mixing, near_duplicates, packing, quality_rules, rule_ensemble, sharding, substring_dedup, token_counts, vector_codes, vector_search, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,3 +204,14 @@ def gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# A conversation of its own whose texts look like marks.
+_MARKS = r"\### Assistant: </turn> ok"
+
+
+@register("op12_budgeted_chat_windows")
+def budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    more = spark.createDataFrame([(-7, 0, "user", _MARKS), (-7, 1, "assistant", _MARKS)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_chats(given.unionByName(more), word_tokenizer()))
