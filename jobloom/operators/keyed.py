@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from jobloom.sources.storage import shared_folder
 
 _PLACE_BITS = 33  # of monotonically_increasing_id: the partition is above
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def content_order(df: DataFrame) -> Column:
+    """A number that depends on a row's content alone: rows with equal ones are, but for 64-bit collisions, equal.
+
+    Columns that cannot be hashed (maps, variants) do not count.
+    """
+    return F.xxhash64(*[F.col(f"`{field.name}`") for field in df.schema if _hashable(field.dataType)])
+
+
 def dedupe_first(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
-    """The first row of each key in the given order.
+    """The first row of each key in the given order; where that does not decide, the content does.
 
-    Written as `row_number() = 1`, which Spark turns into a group limit before
+    So a task that runs again, or another partitioning, chooses the same row. Written as `row_number() = 1`, which Spark turns into a group limit before
     the shuffle: each task sends at most one row per key, so one key holding a
     large part of the table does not pile up in one task.
     """
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order, content_order(df)))
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
@@ -25,8 +41,8 @@ def dedupe_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def dedupe(df: DataFrame, key: str = "job_id", order: list[str] | None = None) -> DataFrame:
-    """One row per key: the first in `order`, or any if no order is given."""
-    return dedupe_first(df, key, order) if order else df.dropDuplicates([key])
+    """One row per key: the first in `order`; without one, or where rows tie, the content decides."""
+    return dedupe_first(df, key, order or [])
 
 
 def dedupe_counts(df: DataFrame, key: str = "job_id") -> DataFrame:

@@ -10,6 +10,7 @@ from jobloom import schemas
 from jobloom.functions.common import number_column
 from jobloom.functions.skills import split_skills
 from jobloom.operators.keyed import dedupe_last, number_by_name
+from jobloom.sources.buckets import BucketedTable
 from jobloom.sources.storage import shared_folder
 
 
@@ -69,8 +70,8 @@ def upsert(
     """The target after inserting new keys and replacing the rows of known ones.
 
     `created_at` stays as first seen, `updated_at` is the batch time of the last
-    change. If the batch itself repeats a key, the last row in `order` counts;
-    `unique=True` says that it does not, which saves a shuffle. Null is a key
+    change. If the batch itself repeats a key, the last row in `order` counts (where
+    that does not decide, the row's content does); `unique=True` says that it does not, which saves a shuffle. Null is a key
     like any other. Columns only one side has are kept, null where a row lacks them.
 
     The batch without repeats is written once to the shared folder. The target
@@ -78,9 +79,7 @@ def upsert(
     rows are filtered where they lie, and they are never sorted through a window.
     """
     now = _moment(batch_time)
-    fresh = batch
-    if not unique:
-        fresh = dedupe_last(batch, key, order) if order else batch.dropDuplicates([key])
+    fresh = batch if unique else dedupe_last(batch, key, order or [])
     if target is None:
         return fresh.withColumns({"created_at": now, "updated_at": now})
     if not unique:
@@ -156,3 +155,56 @@ def prune_orphans(links: DataFrame, jobs: DataFrame, dim: DataFrame) -> DataFram
     return links.join(dim.select("skill_id"), "skill_id", "left_semi").join(
         jobs.select("job_id"), "job_id", "left_semi"
     )
+
+
+def upsert_buckets(
+    table: BucketedTable, batch: DataFrame, batch_time: datetime | Column, order: list[str] | None = None, unique: bool = False
+) -> int:
+    """`upsert` into a bucketed table: only the buckets of the batch's keys are read and written; the new generation.
+
+    The batch without repeats is written once. Applying a batch again gives the same table.
+    """
+    fresh = batch if unique else dedupe_last(batch, table.key, order or [])
+    path = shared_folder(batch.sparkSession, "batch")
+    fresh.write.parquet(path)
+    fresh = batch.sparkSession.read.parquet(path)
+    touched = table.touched(fresh)
+    return table.replace(upsert(table.read(touched), fresh, table.key, batch_time, unique=True), touched)
+
+
+def delete_keys(table: BucketedTable, keys: DataFrame) -> int:
+    """Remove the rows of some keys (a column named as the table's key); the new generation."""
+    path = shared_folder(keys.sparkSession, "deleted")
+    keys.select(F.col(table.key).alias("_key")).distinct().write.parquet(path)
+    gone = keys.sparkSession.read.parquet(path)
+    touched = table.touched(gone, "_key")
+    return table.replace(table.read(touched).join(gone, F.col(table.key).eqNullSafe(F.col("_key")), "left_anti"), touched)
+
+
+def add_links(links: BucketedTable, found: DataFrame) -> int:
+    """Store links of postings, each pair once; only the buckets of these postings are read and written."""
+    path = shared_folder(found.sparkSession, "links")
+    found.select("job_id", "skill_id").write.parquet(path)
+    found = found.sparkSession.read.parquet(path)
+    touched = links.touched(found)
+    return links.replace(merge_links(links.read(touched), found), touched)
+
+
+def prune_links(links: BucketedTable, changes: DataFrame, gone_skills: DataFrame | None = None) -> int:
+    """Remove links of deleted postings, and of deleted skills; the new generation.
+
+    `changes` are those of the postings (`BucketedTable.changes`): the links' buckets of deleted keys alone
+    are read and written. Skills lie in any bucket, so those that hold links of `gone_skills`
+    (`skill_id`) are found by a scan of that column.
+    """
+    path = shared_folder(changes.sparkSession, "deleted")
+    changes.where("change = 'deleted'").select(F.col("job_id").alias("_job")).write.parquet(path)
+    gone = changes.sparkSession.read.parquet(path)
+    touched = set(links.touched(gone, "_job"))
+    if gone_skills is not None:
+        gone_skills = gone_skills.select(F.col("skill_id").alias("_skill"))
+        touched |= set(links.touched(links.read().join(gone_skills, F.col("skill_id") == F.col("_skill"), "left_semi")))
+    left = links.read(sorted(touched)).join(gone, F.col("job_id").eqNullSafe(F.col("_job")), "left_anti")
+    if gone_skills is not None:
+        left = left.join(gone_skills, F.col("skill_id") == F.col("_skill"), "left_anti")
+    return links.replace(left, sorted(touched))

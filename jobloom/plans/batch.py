@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobloom import schemas
 from jobloom.functions.skills import TECH_SKILLS
 from jobloom.operators import cleaning, keyed, quality, warehouse
-from jobloom.sources import feeds, storage
+from jobloom.sources import buckets, feeds, storage
 
 
 class EmptyStep(RuntimeError):
@@ -38,9 +38,8 @@ def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time:
 
     Postings the warehouse constraints refuse go to `rejected`, one folder per
     batch, with the reason; they bring no skills. The accepted rows are written
-    once, and keys, skills and links all come from there. New links are appended
-    in a folder per batch, so stored ones are never rewritten; loading a batch
-    again replaces its folder.
+    once, and keys, skills and links all come from there. Postings and links lie in
+    buckets by posting, of which only those that the batch touches are read and written.
     """
     stored = storage.read_clean(spark, f"{clean_base}/parquet", f"{clean_base}/csv")
     passed, rejected = warehouse.to_warehouse_types(stored, carry=("skills",))
@@ -50,14 +49,11 @@ def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time:
     path = storage.shared_folder(spark, "accepted")
     watched.write.parquet(path)
     accepted = spark.read.parquet(path)
-    jobs, skills = (storage.VersionedTable(spark, f"{warehouse_base}/{name}") for name in ("jobs", "skills"))
-    jobs.write(warehouse.upsert(jobs.read(), accepted.drop("skills"), "job_id", batch_time, unique=True))
+    jobs, links = (buckets.BucketedTable(spark, f"{warehouse_base}/{name}", "job_id") for name in ("jobs", "job_skills"))
+    skills = storage.VersionedTable(spark, f"{warehouse_base}/skills")
+    warehouse.upsert_buckets(jobs, accepted.drop("skills"), batch_time, unique=True)
     dim = skills.write(warehouse.upsert_skill_dim(skills.read(), warehouse.skill_names(accepted)))
-    found = warehouse.link_job_skills(accepted, dim, unique=True)
-    links = storage.open_if_present(lambda: spark.read.parquet(f"{warehouse_base}/job_skills"))
-    if links is not None:
-        links = links.where(F.col("batch") != stamp).select("job_id", "skill_id")
-    warehouse.new_links(links, found).write.mode("overwrite").parquet(f"{warehouse_base}/job_skills/batch={stamp}")
+    warehouse.add_links(links, warehouse.link_job_skills(accepted, dim, unique=True))
     return watch.get["row_count"]
 
 

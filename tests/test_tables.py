@@ -12,7 +12,7 @@ from jobloom import schemas
 from jobloom.__main__ import main
 from jobloom.operators import keyed, market, quality, runlog, warehouse
 from jobloom.plans import batch
-from jobloom.sources import feeds, storage
+from jobloom.sources import buckets, feeds, storage
 
 DAY_1, DAY_2 = (datetime(2025, 3, day, 6, tzinfo=timezone.utc) for day in (1, 2))
 
@@ -86,9 +86,9 @@ def test_batch_twice(spark, landed, tmp_path):
     assert list(spark.read.parquet(f"{base}/clean/parquet").columns) == schemas.CLEAN_COLUMNS
 
     def tables():
-        versions = {n: storage.VersionedTable(spark, f"{base}/warehouse/{n}").read() for n in ("jobs", "skills")}
-        links = spark.read.parquet(f"{base}/warehouse/job_skills").select("job_id", "skill_id")
-        return {n: sorted(map(tuple, t.collect()), key=str) for n, t in (versions | {"job_skills": links}).items()}
+        jobs, links = (buckets.BucketedTable(spark, f"{base}/warehouse/{n}", "job_id").read() for n in ("jobs", "job_skills"))
+        read = {"jobs": jobs, "skills": storage.VersionedTable(spark, f"{base}/warehouse/skills").read(), "job_skills": links}
+        return {n: sorted(map(tuple, t.collect()), key=str) for n, t in read.items()}
 
     before = tables()
     assert [len(rows) for rows in before.values()] == [4, 6, 6]

@@ -10,7 +10,8 @@ from jobloom import schemas
 from jobloom.functions.common import coerce_number
 from jobloom.functions.fields import salary_text
 from jobloom.operators import keyed
-from jobloom.sources import feeds, storage
+from jobloom.sources import buckets, feeds, storage
+from jobloom.sources.storage import shared_folder
 from workload.cleaning_queries import chain, cleaned_pages
 from workload.registry import register
 from workload.views import sql, view, with_views
@@ -134,6 +135,21 @@ def s5(spark, sf_dir):
     return keyed.dedupe_first(combined, "job_id", feeds.ORDER_COLUMNS).select(*schemas.RAW_COLUMNS)
 
 
+@register(
+    "S5_new_across_batches",
+    f"with {_FEED_A}, {_FEED_B} select {_RAW_LIST} from (select * from feed_a"
+    " qualify row_number() over (partition by job_id order by payload_no, place_no) = 1) first_rows"
+    " where job_id not in (select 'remotive_' || o_orderkey from orders where o_orderdate < date '1997-01-01')",
+)
+def s5_across(spark, sf_dir):
+    """Postings of a feed whose keys no earlier batch stored."""
+    known = buckets.BucketedTable(spark, shared_folder(spark, "known"), "job_id")
+    earlier = sql(spark, sf_dir, "select concat('remotive_', o_orderkey) as job_id, o_orderdate from orders")
+    known.replace(earlier.where("o_orderdate < date '1997-01-01'"))
+    rows = keyed.dedupe_first(feeds.combine_feeds(feed_a(spark, sf_dir)), "job_id", feeds.ORDER_COLUMNS)
+    return known.unknown(rows.select(*schemas.RAW_COLUMNS))
+
+
 # ---- files ----------------------------------------------------------------------
 
 

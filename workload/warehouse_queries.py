@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobloom.operators import warehouse
 from jobloom.plans import batch as batch_plan
-from jobloom.sources import storage
-from workload.registry import register
+from jobloom.sources import buckets, storage
+from workload.registry import ORACLES, register
 from workload.views import sql, table, view, with_views
 
 FIRST_LOAD, SECOND_LOAD = "2025-03-01 06:00:00", "2025-03-02 06:00:00"
@@ -73,6 +73,36 @@ def w1_stored(spark, sf_dir):
     return _as_text(orders.read().drop("copy_no"))
 
 
+@register("W1_upsert_buckets", _UPSERTED)
+def w1_buckets(spark, sf_dir):
+    """The same into key buckets; the batch is applied twice."""
+    stored, batch = stored_and_batch(spark, sf_dir)
+    orders = buckets.BucketedTable(spark, storage.shared_folder(spark, "orders"), "o_orderkey")
+    orders.replace(stored)
+    for _ in range(2):
+        warehouse.upsert_buckets(orders, batch, _at(SECOND_LOAD), order=["copy_no"])
+    return _as_text(orders.read().drop("copy_no"))
+
+
+@register(
+    "W1_changes_between_loads",
+    f"with {_STORED}, {_BATCH}, result as ({_UPSERTED.removeprefix(f'with {_STORED}, {_BATCH} ')}),"
+    " later as (select * from result where o_orderkey % 13 <> 0)"
+    " select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey, case when a.o_orderkey is null then 'inserted'"
+    " when b.o_orderkey is null then 'deleted' else 'changed' end as change"
+    " from stored a full join later b using (o_orderkey)"
+    " where a.o_orderkey is null or b.o_orderkey is null or a.o_totalprice <> b.o_totalprice",
+)
+def w1_changes(spark, sf_dir):
+    """Keys inserted, changed and deleted by a load and a deletion, out of the stored generations."""
+    stored, batch = stored_and_batch(spark, sf_dir)
+    orders = buckets.BucketedTable(spark, storage.shared_folder(spark, "orders"), "o_orderkey")
+    first = orders.replace(stored)
+    warehouse.upsert_buckets(orders, batch, _at(SECOND_LOAD), order=["copy_no"])
+    warehouse.delete_keys(orders, orders.read().where(F.col("o_orderkey") % 13 == 0))
+    return orders.changes(first, ignore=("created_at", "updated_at", "copy_no"))
+
+
 @register(
     "W1_upsert_new_column",
     f"with {_STORED}, {_BATCH} select * replace (cast(o_orderdate as date) as o_orderdate) from ("
@@ -153,8 +183,8 @@ def w5_load(spark, sf_dir):
     sql(spark, sf_dir, _LOADED).write.parquet(f"{base}/clean/parquet")
     for day in (1, 2):
         loaded = batch_plan.load(spark, f"{base}/clean", f"{base}/warehouse", datetime(2025, 3, day, 6, tzinfo=timezone.utc))
-    jobs, skills = (storage.VersionedTable(spark, f"{base}/warehouse/{name}").read() for name in ("jobs", "skills"))
-    links = spark.read.parquet(f"{base}/warehouse/job_skills")
+    jobs, links = (buckets.BucketedTable(spark, f"{base}/warehouse/{name}", "job_id").read() for name in ("jobs", "job_skills"))
+    skills = storage.VersionedTable(spark, f"{base}/warehouse/skills").read()
     refused = spark.read.parquet(f"{base}/warehouse/rejected").where("batch = '20250302T060000'")
     count = lambda df: df.agg(F.count(F.lit(1))).scalar()
     times = F.array_join(F.array(*[F.date_format(F.min(name), "yyyy-MM-dd HH:mm:ss") for name in ("created_at", "updated_at")]), "|")
@@ -219,3 +249,17 @@ def w6(spark, sf_dir):
     links, dim = mention_links(spark, sf_dir)
     jobs = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("job_id"))
     return warehouse.prune_orphans(links, jobs, dim.where(~F.col("skill_name").startswith("red ")))
+
+
+@register("W6_prune_by_changes", ORACLES["W6_prune_orphans"])
+def w6_changes(spark, sf_dir):
+    """The same by the change set of the stored postings; links lie in buckets by posting."""
+    found, dim = mention_links(spark, sf_dir)
+    base = storage.shared_folder(spark, "warehouse")
+    jobs, links = (buckets.BucketedTable(spark, f"{base}/{name}", "job_id") for name in ("jobs", "links"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("job_id"), "o_orderstatus")
+    first = jobs.replace(orders)
+    warehouse.add_links(links, found)
+    warehouse.delete_keys(jobs, orders.where("o_orderstatus = 'P'"))
+    warehouse.prune_links(links, jobs.changes(first), dim.where(F.col("skill_name").startswith("red ")))
+    return links.read()
