@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.functions.common import as_col, title_case
 from jobloom.functions.skills import split_skills
+from jobloom.sources.storage import shared_folder
 
 DISPLAY_DEFAULT = 20
 
@@ -111,3 +112,54 @@ def skill_cooccurrence(
     )
     top = counted if n is None else counted.limit(n)
     return top.select(F.concat(title_case("a"), F.lit(" + "), title_case("b")).alias("pair"), "count")
+
+
+# ---- frequent pairs without a dictionary -----------------------------------------------------
+
+
+def _rows_of_skills(postings: DataFrame, column: str) -> DataFrame:
+    """(row, skill): each skill of a posting once, the posting numbered."""
+    numbered = postings.select(F.monotonically_increasing_id().alias("row"), skill_array(postings, column).alias("skills"))
+    return numbered.select("row", F.explode(F.array_distinct("skills")).alias("skill"))
+
+
+def _pairs_among(mentions: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(a, b, count) of pairs whose skills are both chosen; sets are built of these skills alone."""
+    sets = mentions.join(chosen.select("skill"), "skill", "left_semi").groupBy("row").agg(F.collect_set("skill").alias("skills"))
+    pairs = sets.where(F.size("skills") > 1).select(F.explode(unordered_pairs("skills")).alias("pair"))
+    return pairs.groupBy("pair.a", "pair.b").agg(F.count(F.lit(1)).alias("count"))
+
+
+def contenders(mentions: DataFrame, demand: DataFrame, n: int, first: int) -> DataFrame:
+    """The skills of which some pair can be among the `n` most frequent.
+
+    A pair is named at most as often as the rarer of its skills. The pairs among the `first`
+    skills in highest demand give a count that the n-th best pair reaches at least; skills in
+    less demand than that are out. Where these pairs are fewer than `n`, all skills remain
+    that are named with others at all.
+    """
+    leading = demand.orderBy(F.desc("demand"), "skill").limit(first)
+    best = _pairs_among(mentions, leading).orderBy(F.desc("count")).limit(n)
+    reached = best.agg(F.when(F.count(F.lit(1)) == n, F.min("count")).alias("count")).scalar()
+    return demand.where(F.col("demand") >= F.coalesce(reached, F.lit(1)))
+
+
+def frequent_pairs(postings: DataFrame, n: int = 15, column: str = "skills", first: int = 64) -> DataFrame:
+    """`skill_cooccurrence` for free tags: the same `n` pairs, exact, without a dictionary.
+
+    Only pairs of skills that can still be among the best are made, so a long tail of rare
+    tags costs its counts and no pairs, in a posting with many tags too. The postings
+    are written once as (row, skill); a skill that many postings name is counted before its shuffle,
+    and Spark broadcasts the skills that remain while it has measured them to be small.
+    """
+    if n < 1 or first < 2:
+        raise ValueError("pairs need a positive number, made of two skills at least")
+    spark = postings.sparkSession
+    path = shared_folder(spark, "pairs")
+    _rows_of_skills(postings, column).write.parquet(f"{path}/mentions")
+    mentions = spark.read.parquet(f"{path}/mentions")
+    mentions.groupBy("skill").agg(F.count(F.lit(1)).alias("demand")).write.parquet(f"{path}/demand")
+    contenders(mentions, spark.read.parquet(f"{path}/demand"), n, first).select("skill").write.parquet(f"{path}/left")
+    counted = _pairs_among(mentions, spark.read.parquet(f"{path}/left"))
+    top = counted.orderBy(F.desc("count"), "a", "b").limit(n)
+    return top.select(F.concat(title_case("a"), F.lit(" + "), title_case("b")).alias("pair"), "count")

@@ -10,7 +10,7 @@ from jobloom.plans import dashboard as board
 from jobloom.sources.storage import Snapshot, shared_folder
 from workload import sqltext as q
 from workload.registry import register
-from workload.views import view, with_views
+from workload.views import table, view, with_views
 
 CHOSEN = ("NATION_1", "NATION_4", "NATION_7", "NATION_11", "NATION_23")
 FROM, TO = "1995-06-01", "1999-03-31"
@@ -170,6 +170,29 @@ def a10_arrays(spark, sf_dir):
     return skill_demand.skill_cooccurrence(_as_arrays(spark, sf_dir), None)
 
 
+# Free tags: the longer words of every document, a vocabulary with a long tail.
+_TAG = "[A-Za-z]{9,}"
+_TAGS = (
+    "tagged as (select distinct doc_id as job_id, lower(tag) as skill"
+    f" from (select doc_id, unnest(regexp_extract_all(text, '{_TAG}')) as tag from documents))"
+)
+
+
+def _free_tags(spark, sf_dir) -> DataFrame:
+    tags = F.regexp_extract_all("text", F.lit(_TAG), F.lit(0))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_id"), tags.alias("skills"))
+
+
+@register("A10_frequent_pairs", with_views(q.cooccurrence("posting_skills"), "posting_skills"))
+def a10_frequent(spark, sf_dir):
+    return skill_demand.frequent_pairs(skill_demand.skill_sets(on_skills(spark, sf_dir)))
+
+
+@register("A10_frequent_pairs_free_tags", f"with {_TAGS}\n" + q.cooccurrence("tagged", 40))
+def a10_free_tags(spark, sf_dir):
+    return skill_demand.frequent_pairs(_free_tags(spark, sf_dir), 40)
+
+
 _PAIRED = ("brand#11", "brand#12", "brand#23", "brand#34", "brand#45", "unknown")
 
 
