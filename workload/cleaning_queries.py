@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobloom.functions import fields, markup, skills as skill_functions
-from jobloom.operators import cleaning, keyed, quality, skill_demand
+from jobloom.operators import cleaning, keyed, quality, skill_demand, term_join
 from workload import sqltext as q
 from workload.registry import register
 from workload.views import table, view, with_views
@@ -177,6 +177,39 @@ def c9_nested(spark, sf_dir):
     return cleaning.extract_skills(_documents(spark, sf_dir), _NESTED).select("doc_id", "skills")
 
 
+def _terms(spark, terms) -> term_join.TermTable:
+    return term_join.TermTable(spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term")))
+
+
+@register("C9_skills_by_term_table", _found(skill_functions.TECH_SKILLS))
+def c9_join(spark, sf_dir):
+    terms = _terms(spark, skill_functions.TECH_SKILLS)
+    return term_join.extract_skills(_documents(spark, sf_dir), terms, "doc_id").select("doc_id", "skills")
+
+
+@register("C9_skills_by_term_table_nested", _found(_NESTED))
+def c9_join_nested(spark, sf_dir):
+    return term_join.extract_skills(_documents(spark, sf_dir), _terms(spark, _NESTED), "doc_id").select("doc_id", "skills")
+
+
+# A dictionary that grows with the data: every longer word of the benchmark's texts.
+_LARGE = "[A-Za-z]{7,}"
+
+
+@register(
+    "C9_skills_by_large_term_table",
+    f"with terms as (select distinct lower(unnest(regexp_extract_all(text, '{_LARGE}'))) as term from benchmark),"
+    " words as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) as term from documents)"
+    " select doc_id, coalesce(string_agg(terms.term, ', ' order by terms.term), '') as skills,"
+    " cast(count(terms.term) as integer) as skill_count"
+    " from documents left join words using (doc_id) left join terms using (term) group by doc_id",
+)
+def c9_join_large(spark, sf_dir):
+    words = F.explode(F.regexp_extract_all("text", F.lit(_LARGE), F.lit(0))).alias("term")
+    terms = term_join.TermTable(table(spark, sf_dir, "benchmark").select(words))
+    return term_join.extract_skills(_documents(spark, sf_dir), terms, "doc_id").select("doc_id", "skills", "skill_count")
+
+
 @register(
     "C10_skill_count",
     f"select doc_id, {q.skill_count('skills')} as skill_count from ({_found(q.DOC_TERMS)})",
