@@ -9,6 +9,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession, functions as F
@@ -47,30 +48,32 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     """One folder per section; a single error record where there are no postings."""
-    clean = storage.read_clean(spark, f"{args.base}/clean/parquet", f"{args.base}/clean/csv")
+    clean = storage.read_clean(spark, f"{args.base}/clean/parquet", f"{args.base}/clean/csv", keep_month=True)
     sizes = Sizes(args.top, args.pairs, args.ranges, args.table)
     with dashboard(clean, args.location, args.date_from, args.date_to, sizes=sizes) as parts:
-        write_sections(parts, args.out)
+        write_sections(parts, args.out, sizes)
 
 
 def _enrich(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Without `--out` the table itself is replaced, in its format.
+    """Without `--out` the table itself is replaced, in its format and layout.
 
-    A plan must not overwrite the table it reads, so the result is written aside
-    first and copied from there.
+    The result is written beside the table and takes its place when it is finished, so
+    a write that fails leaves the table as it was.
     """
-    as_csv = args.table.rstrip("/").endswith("csv")
-    stored = storage.read_clean(spark, None if as_csv else args.table, args.table if as_csv else None, required=True)
-    enriched = enrich_table(stored, strip={"auto": None, "yes": True, "no": False}[args.strip])
-    if args.out is None:
-        aside = storage.shared_folder(spark, "enriched")
-        enriched.write.parquet(aside)
-        enriched = spark.read.parquet(aside)
-    out = args.out or args.table
+    table = args.table.rstrip("/")
+    as_csv = table.endswith("csv")
+    stored = storage.read_clean(spark, None if as_csv else table, table if as_csv else None, required=True, keep_month=True)
+    by_month = storage.MONTH in stored.columns
+    enriched = enrich_table(stored.drop(storage.MONTH), strip={"auto": None, "yes": True, "no": False}[args.strip])
+    out = args.out or f"{table}.new-{uuid.uuid4().hex}"
     if as_csv:
         storage.write_csv(enriched, out)
+    elif by_month and args.out is None:
+        storage.write_by_month(enriched, out)
     else:
-        enriched.write.mode("overwrite" if args.out is None else "errorifexists").parquet(out)
+        enriched.write.parquet(out)
+    if args.out is None:
+        storage.replace_folder(spark, out, table)
 
 
 def _runs(spark: SparkSession, args: argparse.Namespace) -> None:

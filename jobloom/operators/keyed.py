@@ -59,15 +59,15 @@ def dedupe_counts(df: DataFrame, key: str = "job_id") -> DataFrame:
     return totals.withColumn("dropped", F.col("rows_before") - F.col("rows_after"))
 
 
-def number_by_name(names: DataFrame, column: str, number: str) -> DataFrame:
-    """Number distinct names 1..n in name order.
+def number_rows(df: DataFrame, order: list[Column], number: str, purpose: str = "numbered") -> DataFrame:
+    """Number rows 1..n in the given order, which tells any two rows apart.
 
-    The names are range-partitioned, sorted and written once with their place in
+    The rows are range-partitioned, sorted and written once with their place in
     the partition; only a table with one row per partition is summed up in one task.
     """
-    spark = names.sparkSession
-    path = shared_folder(spark, "names")
-    ordered = names.repartitionByRange(column).sortWithinPartitions(column)
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
     placed = spark.read.parquet(path).withColumn("_part", F.shiftright("_place", _PLACE_BITS))
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -78,3 +78,8 @@ def number_by_name(names: DataFrame, column: str, number: str) -> DataFrame:
         .withColumn(number, F.col("_before") + within)
         .drop("_part", "_place", "_before")
     )
+
+
+def number_by_name(names: DataFrame, column: str, number: str) -> DataFrame:
+    """Number distinct names 1..n in name order."""
+    return number_rows(names, [F.asc(column)], number, "names")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.functions.common import as_col, blank_to_null, mentions_any, number_column, text_or_empty
 from jobloom.functions.fields import FALLBACK_LOCATION_WORDS, posted_date
+from jobloom.sources.storage import MONTH, month_number
+
 
 def _rows() -> Column:
     return F.count(F.lit(1))
@@ -37,15 +39,18 @@ def filter_postings(
 ) -> DataFrame:
     """Postings of the given locations (none given: all) within inclusive day bounds.
 
-    A posting without date fails as soon as a bound is set.
+    A posting without date fails as soon as a bound is set. Of postings stored by month
+    (`storage.write_by_month`), only the folders of these months are read.
     """
     wanted = list(locations)
     if wanted:
         df = df.where(F.col("location").isin(wanted))
-    if date_from:
-        df = df.where(F.col("posted_date") >= F.lit(date_from).cast("date"))
-    if date_to:
-        df = df.where(F.col("posted_date") <= F.lit(date_to).cast("date"))
+    for bound, within in ((date_from, Column.__ge__), (date_to, Column.__le__)):
+        if bound:
+            day = F.lit(bound).cast("date")
+            df = df.where(within(F.col("posted_date"), day))
+            if MONTH in df.columns:
+                df = df.where(within(F.col(MONTH), month_number(day)))
     return df
 
 

@@ -11,6 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobloom.operators import market, salaries, skill_demand
+from jobloom.operators.keyed import number_rows
+from jobloom.sources.storage import MONTH
 
 COLUMNS = (
     "job_id", "title", "company", "location", "posted_date", "work_mode",
@@ -117,8 +119,8 @@ class Dashboard:
         date_to: str | None = None,
         sizes: Sizes = Sizes(),
     ):
-        narrow = market.prepare(postings.select(*[c for c in COLUMNS if c in postings.columns]))
-        chosen = market.filter_postings(narrow, locations, date_from, date_to)
+        narrow = market.prepare(postings.select(*[c for c in (*COLUMNS, MONTH) if c in postings.columns]))
+        chosen = market.filter_postings(narrow, locations, date_from, date_to).drop(MONTH)
         self.postings = chosen.persist(StorageLevel.MEMORY_AND_DISK)
         self.counts = _facets(self.postings).persist(StorageLevel.MEMORY_AND_DISK)
         self.sections = sections(self.postings, self.counts, sizes, filter_options(narrow))
@@ -144,20 +146,29 @@ def dashboard(postings: DataFrame, *filters, **options) -> Iterator[dict[str, Da
         yield board.sections
 
 
-def with_position(section: str, part: DataFrame) -> DataFrame:
-    """The section with the place of each row, from 1; sections are short once ranked or counted."""
+# Sections that are not cut to a number of rows: they grow with the names and days there are.
+_WHOLE = {"filter_options": None, "timeline": None, "skill_rankings": None, "salary_table": "table", "skill_cooccurrence": "pairs"}
+
+
+def with_position(section: str, part: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    """The section with the place of each row, from 1.
+
+    Sections cut to `sizes` are short and numbered in one window; the others are numbered over range partitions.
+    """
     keys = [F.desc_nulls_last(name) if down else F.asc(name) for name, down in ORDER.get(section, ())]
+    if section in _WHOLE and (_WHOLE[section] is None or getattr(sizes, _WHOLE[section]) is None):
+        return number_rows(part, keys, "position").withColumn("position", F.col("position").cast("int"))
     place = F.row_number().over(Window.orderBy(*keys)) if keys else F.lit(1)
     return part.withColumn("position", place)
 
 
-def write_sections(parts: dict[str, DataFrame], path: str) -> None:
+def write_sections(parts: dict[str, DataFrame], path: str, sizes: Sizes = Sizes()) -> None:
     """Each section in its own folder and schema, as JSON lines in order of position."""
     for section, part in parts.items():
-        with_position(section, part).write.mode("overwrite").json(f"{path}/{section}")
+        with_position(section, part, sizes).write.mode("overwrite").json(f"{path}/{section}")
 
 
-def as_rows(parts: dict[str, DataFrame]) -> DataFrame:
+def as_rows(parts: dict[str, DataFrame], sizes: Sizes = Sizes()) -> DataFrame:
     """All sections in one long frame: (section, position, measure, text, value).
 
     Every cell is a row: texts and days in `text`, numbers in `value`. Cells of
@@ -174,7 +185,7 @@ def as_rows(parts: dict[str, DataFrame]) -> DataFrame:
             )
 
         each = F.explode(F.array(*[cell(name, kind) for name, kind in part.dtypes]))
-        placed = with_position(section, part).select(F.lit(section).alias("section"), "position", each.alias("cell"))
+        placed = with_position(section, part, sizes).select(F.lit(section).alias("section"), "position", each.alias("cell"))
         return placed.select("section", "position", "cell.*")
 
     return reduce(DataFrame.unionByName, [cells(section, part) for section, part in parts.items()])

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from jobloom import schemas
 
@@ -117,10 +117,30 @@ def order_columns(df: DataFrame, order: list[str] = schemas.CLEAN_COLUMNS) -> Da
     return df.select(*known, *[name for name in df.columns if name not in order])
 
 
+# Partition column of stored clean postings: year * 100 + month of the posting date.
+MONTH = "posted_month"
+
+
+def month_number(day: Column) -> Column:
+    return (F.year(day) * 100 + F.month(day)).cast("int")
+
+
+def write_by_month(postings: DataFrame, path: str) -> None:
+    """Postings in a folder per month, in order of location within its files, replacing what was there.
+
+    Date bounds then choose folders, and locations row groups. Rows are dealt by ranges of month, location and
+    key, so neither a month nor a location that holds a third of all rows goes to one task.
+    """
+    keys = [name for name in ("location", "job_id") if name in postings.columns]
+    laid = postings.withColumn(MONTH, month_number(F.col("posted_date").try_cast("date")))
+    laid = laid.repartitionByRange(MONTH, *keys).sortWithinPartitions(MONTH, *keys)
+    laid.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+
+
 def write_clean(clean: DataFrame, base: str) -> None:
-    """Clean postings as Parquet and CSV, replacing what was there."""
-    clean.write.mode("overwrite").parquet(f"{base}/parquet")
-    write_csv(clean.sparkSession.read.parquet(f"{base}/parquet"), f"{base}/csv")
+    """Clean postings as Parquet (by month) and CSV, replacing what was there."""
+    write_by_month(clean, f"{base}/parquet")
+    write_csv(clean.sparkSession.read.parquet(f"{base}/parquet").drop(MONTH), f"{base}/csv")
 
 
 def read_clean(
@@ -129,10 +149,12 @@ def read_clean(
     csv: str | None = None,
     jdbc: dict[str, str] | None = None,
     required: bool = False,
+    keep_month: bool = False,
 ) -> DataFrame:
     """Parquet, else CSV, else a database table (`jdbc` reader options), else empty.
 
-    With `required`, finding nothing is an error. CSV columns arrive as text; known ones are cast to the clean schema. To read
+    With `required`, finding nothing is an error. With `keep_month`, postings that are stored by month
+    keep that column, by which `filter_postings` chooses folders. CSV columns arrive as text; known ones are cast to the clean schema. To read
     a large database table in parallel, give `partitionColumn` and its bounds.
     """
     found = open_if_present(lambda: spark.read.parquet(parquet)) if parquet else None
@@ -150,7 +172,36 @@ def read_clean(
         found = spark.read.format("jdbc").options(**jdbc).load()
     if found is None and required:
         raise FileNotFoundError(f"no table at {parquet or csv}")
-    return spark.createDataFrame([], schemas.CLEAN) if found is None else found
+    if found is None:
+        return spark.createDataFrame([], schemas.CLEAN)
+    return found if keep_month else found.drop(MONTH)
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put a finished folder in the place of another, which stays beside it until the new one is there.
+
+    Both lie in one file system. If the second step fails, the first is undone; if the driver is lost
+    between them, the old folder still lies at `path` + `.replaced`.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, old, aside = (hadoop(name.rstrip("/")) for name in (fresh, path, path.rstrip("/") + ".replaced"))
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(aside):
+        raise FileExistsError(f"{aside} is left from a replacement that was cut off: put it back or remove it")
+    if not files.exists(new):
+        raise FileNotFoundError(fresh)
+    there, done = files.exists(old), False
+    if there and not files.rename(old, aside):
+        raise OSError(f"{path} cannot be moved")
+    try:
+        done = files.rename(new, old)
+    finally:
+        if there and not done:
+            files.rename(aside, old)
+    if not done:
+        raise OSError(f"{fresh} cannot be moved to {path}")
+    if there:
+        files.delete(aside, True)
 
 
 class Snapshot:

@@ -83,7 +83,7 @@ def test_batch_twice(spark, landed, tmp_path):
     assert (first["skills"], first["skill_count"]) == ("kafka, python, spark, sql", 4)
     assert first["description"] == "Spark & Kafka" and str(first["posted_date"]) == "2025-03-01"
     assert clean["remotive_8"]["posted_date"] is None
-    assert list(spark.read.parquet(f"{base}/clean/parquet").columns) == schemas.CLEAN_COLUMNS
+    assert storage.read_clean(spark, f"{base}/clean/parquet").columns == schemas.CLEAN_COLUMNS
 
     def tables():
         jobs, links = (buckets.BucketedTable(spark, f"{base}/warehouse/{n}", "job_id").read() for n in ("jobs", "job_skills"))

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobloom.functions import fields
 from jobloom.operators import market, quality, salaries, skill_demand
 from jobloom.plans import dashboard as board
-from jobloom.sources.storage import Snapshot, shared_folder
+from jobloom.sources.storage import MONTH, Snapshot, shared_folder, write_by_month
 from workload import sqltext as q
-from workload.registry import register
+from workload.registry import ORACLES, register
 from workload.views import table, view, with_views
 
 CHOSEN = ("NATION_1", "NATION_4", "NATION_7", "NATION_11", "NATION_23")
@@ -59,6 +59,18 @@ def a1(spark, sf_dir):
     return market.filter_postings(on_clean(spark, sf_dir), CHOSEN, FROM, TO)
 
 
+def _by_month(spark, sf_dir, postings: DataFrame) -> DataFrame:
+    path = shared_folder(spark, "by_month")
+    write_by_month(postings, path)
+    return spark.read.parquet(path)
+
+
+@register("A1_filter_by_month_folders", clean(f"select * from postings_clean where {_CHOSEN_SQL}"))
+def a1_by_month(spark, sf_dir):
+    stored = _by_month(spark, sf_dir, on_clean(spark, sf_dir))
+    return market.filter_postings(stored, CHOSEN, FROM, TO).drop(MONTH)
+
+
 @register(
     "A2_filter_options",
     clean(
@@ -356,6 +368,15 @@ def a20(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("A20_dashboard_by_month_folders", ORACLES["A20_dashboard"])
+def a20_by_month(spark, sf_dir):
+    """The same over postings stored by month, of which the filter reads a part."""
+    path = shared_folder(spark, "board")
+    with board.dashboard(_by_month(spark, sf_dir, with_skills(spark, sf_dir)), CHOSEN, FROM, TO) as parts:
+        board.as_rows(parts).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("S12_snapshot", clean(q.top_values("postings_clean", "company")))
 def s12(spark, sf_dir):
     snapshot = Snapshot(lambda: on_clean(spark, sf_dir).select("company", "location"))

@@ -210,7 +210,7 @@ def s9(spark, sf_dir):
 def s10(spark, sf_dir):
     base = storage.shared_folder(spark, "clean")
     storage.write_clean(cleaned_pages(spark, sf_dir), base)
-    return spark.read.parquet(f"{base}/parquet")
+    return storage.read_clean(spark, f"{base}/parquet")
 
 
 @register("S11_read_clean", chain("select * from cleaned"))
