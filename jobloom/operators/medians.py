@@ -46,6 +46,28 @@ def _holding_middle(counted: DataFrame, order: list[str], start: Column) -> Data
     )
 
 
+def coarse_counts(values: DataFrame, *by: str) -> DataFrame:
+    """Values per metric and coarse bucket (`n`), with the least and greatest of each (`low`, `high`).
+
+    With further columns in `by` the counts can be kept and merged later (`merged`).
+    """
+    return values.groupBy(*by, "metric", _coarse(F.col("value")).alias("coarse")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+
+
+def merged(counts: DataFrame) -> DataFrame:
+    """Kept counts as one row per metric and coarse bucket."""
+    return counts.groupBy("metric", "coarse").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def middle_buckets(coarse: DataFrame) -> DataFrame:
+    """The coarse buckets, two per metric at most, that hold the middle ranks, with the totals of their metric."""
+    whole = Window.partitionBy("metric")
+    totals = {"count": F.sum("n").over(whole), "smallest": F.min("low").over(whole), "largest": F.max("high").over(whole)}
+    return _holding_middle(coarse.withColumns(totals), ["coarse"], F.lit(0)).drop("n")
+
+
 def spread(values: DataFrame) -> DataFrame:
     """Per metric of (metric, value) rows: count, exact median, smallest and largest value.
 
@@ -55,20 +77,12 @@ def spread(values: DataFrame) -> DataFrame:
     are summed up in order. The input is read twice. The built-in exact
     percentile would gather all distinct values in one task instead.
     """
-    whole = Window.partitionBy("metric")
-    coarse = (
-        values.groupBy("metric", _coarse(F.col("value")).alias("coarse"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumns(
-            {
-                "count": F.sum("n").over(whole),
-                "smallest": F.min("low").over(whole),
-                "largest": F.max("high").over(whole),
-            }
-        )
-    )
-    middle = _holding_middle(coarse, ["coarse"], F.lit(0)).drop("n")
+    return spread_within(values, middle_buckets(coarse_counts(values)))
+
 
+def spread_within(values: DataFrame, middle: DataFrame) -> DataFrame:
+    """`spread`, once the middle buckets are known: of the values, only those in these buckets count."""
+    whole = Window.partitionBy("metric")
     # At most two groups per metric, here and below: always small enough to broadcast.
     in_middle = values.withColumn("coarse", _coarse(F.col("value"))).join(F.broadcast(middle), ["metric", "coarse"])
     carried = ("count", "smallest", "largest", "low", "high", "before")

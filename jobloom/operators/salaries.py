@@ -25,7 +25,11 @@ def with_salary(df: DataFrame) -> DataFrame:
 
 def salary_metrics(df: DataFrame) -> DataFrame:
     """Count, exact medians of both bounds (0 where no maximum is known), full range."""
-    facts = spread(long_values(with_salary(df), SERIES))
+    return metrics_of(spread(long_values(with_salary(df), SERIES)))
+
+
+def metrics_of(facts: DataFrame) -> DataFrame:
+    """One row of figures from those of each bound."""
 
     def of(metric: str, column: str) -> Column:
         return F.max(F.when(F.col("metric") == metric, F.col(column)))
@@ -64,9 +68,12 @@ def _bin_on_edges(value: Column, low: Column, high: Column, bins: int) -> Column
 
 
 def _counts_by_bin(binned: DataFrame) -> DataFrame:
-    """(bin, min_salary, max_salary) counts of (metric, bin) rows."""
+    """(bin, min_salary, max_salary) counts of (metric, bin, n) rows."""
     return binned.groupBy("bin").agg(
-        *[F.count_if(F.col("metric") == name).alias(label) for name, label in zip(SERIES, ("min_salary", "max_salary"))]
+        *[
+            F.coalesce(F.sum(F.when(F.col("metric") == name, F.col("n"))), F.lit(0)).alias(label)
+            for name, label in zip(SERIES, ("min_salary", "max_salary"))
+        ]
     )
 
 
@@ -93,20 +100,29 @@ def salary_histogram(df: DataFrame, bins: int = 12) -> DataFrame:
     values are equal, the range is widened by half on either side.
     """
     paid = with_salary(df)
-    bounds = paid.agg(
-        F.min(F.least(*SERIES)).alias("low"), F.max(F.greatest(*SERIES)).alias("high")
-    )
+    ends = paid.agg(F.min(F.least(*SERIES)).alias("low"), F.max(F.greatest(*SERIES)).alias("high"))
+    values = bin_of(F.col("value"), ends, bins, long_values(paid, SERIES))
+    return histogram_of(values.select("metric", "bin", F.lit(1).cast("long").alias("n")), ends, bins)
+
+
+def _widened(ends: DataFrame) -> Column:
+    """The range to be cut into bins, as a scalar; a single value is widened by half on either side."""
     same = (F.col("low") == F.col("high")).cast("double") * 0.5
-    range_ = bounds.select(
-        F.struct((F.col("low") - same).alias("low"), (F.col("high") + same).alias("high")).alias("r")
-    ).scalar()
+    return ends.select(F.struct((F.col("low") - same).alias("low"), (F.col("high") + same).alias("high")).alias("r")).scalar()
+
+
+def bin_of(value: Column, ends: DataFrame, bins: int, rows: DataFrame) -> DataFrame:
+    """Rows with the `bin` of a value on equal-width bins between the ends, one row (low, high)."""
+    return rows.withColumn("r", _widened(ends)).withColumn("bin", _bin_on_edges(value, F.col("r.low"), F.col("r.high"), bins))
+
+
+def histogram_of(binned: DataFrame, ends: DataFrame, bins: int) -> DataFrame:
+    """All bins between the ends with their label and the sums of (metric, bin, n) rows."""
     low, high = F.col("r.low"), F.col("r.high")
-    values = long_values(paid, SERIES).withColumn("r", range_)
-    counts = _counts_by_bin(values.select("metric", _bin_on_edges(F.col("value"), low, high, bins).alias("bin")))
     place = F.col("bin")
-    grid = _grid(df, bins).withColumn("r", range_).where(low.isNotNull())
+    grid = _grid(binned, bins).withColumn("r", _widened(ends)).where(low.isNotNull())
     labels = _label(_edge(low, high, place, bins), _edge(low, high, place + 1, bins))
-    return _fill(grid.select("bin", labels.alias("range")), counts)
+    return _fill(grid.select("bin", labels.alias("range")), _counts_by_bin(binned))
 
 
 def histogram_own_edges(df: DataFrame, bins: int = 12) -> DataFrame:
@@ -136,7 +152,7 @@ def histogram_own_edges(df: DataFrame, bins: int = 12) -> DataFrame:
     place = F.when(high == low, F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - low) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
     )
-    counts = _counts_by_bin(values.select("metric", place.alias("bin")))
+    counts = _counts_by_bin(values.select("metric", place.alias("bin"), F.lit(1).cast("long").alias("n")))
     single = F.col("r.low_min") == F.col("r.high_min")
     low_all, high_all = F.col("r.low"), F.col("r.high")
     grid = _grid(df, bins).withColumn("r", ranges).where(

@@ -108,9 +108,14 @@ def skill_cooccurrence(
         .select(F.explode(unordered_pairs("skills")).alias("pair"))
         .groupBy("pair.a", "pair.b")
         .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "a", "b")
     )
-    top = counted if n is None else counted.limit(n)
+    return label_pairs(counted, n)
+
+
+def label_pairs(counted: DataFrame, n: int | None) -> DataFrame:
+    """(pair, count) of counted pairs (a, b), most frequent first."""
+    ordered = counted.orderBy(F.desc("count"), "a", "b")
+    top = ordered if n is None else ordered.limit(n)
     return top.select(F.concat(title_case("a"), F.lit(" + "), title_case("b")).alias("pair"), "count")
 
 
@@ -160,6 +165,4 @@ def frequent_pairs(postings: DataFrame, n: int = 15, column: str = "skills", fir
     mentions = spark.read.parquet(f"{path}/mentions")
     mentions.groupBy("skill").agg(F.count(F.lit(1)).alias("demand")).write.parquet(f"{path}/demand")
     contenders(mentions, spark.read.parquet(f"{path}/demand"), n, first).select("skill").write.parquet(f"{path}/left")
-    counted = _pairs_among(mentions, spark.read.parquet(f"{path}/left"))
-    top = counted.orderBy(F.desc("count"), "a", "b").limit(n)
-    return top.select(F.concat(title_case("a"), F.lit(" + "), title_case("b")).alias("pair"), "count")
+    return label_pairs(_pairs_among(mentions, spark.read.parquet(f"{path}/left")), n)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobloom.functions import fields
 from jobloom.operators import market, quality, salaries, skill_demand
 from jobloom.plans import dashboard as board
+from jobloom.plans.summaries import Summary
 from jobloom.sources.storage import MONTH, Snapshot, shared_folder, write_by_month
 from workload import sqltext as q
 from workload.registry import ORACLES, register
@@ -377,6 +378,51 @@ def a20_by_month(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# ---- from stored summaries -------------------------------------------------------
+
+_SUMMARISED_TO = "1997-01-01"
+
+
+def _summary(spark, sf_dir) -> tuple[Summary, DataFrame]:
+    """Postings stored by month and their summary: of the months up to a day first, then of those that came later."""
+    stored = _by_month(spark, sf_dir, with_skills(spark, sf_dir))
+    summary = Summary(spark, shared_folder(spark, "summary"))
+    summary.update(stored.where(F.col("posted_date") < F.lit(_SUMMARISED_TO).cast("date")))
+    later = stored.where(F.col(MONTH) >= 199701).select(MONTH).distinct().collect()
+    summary.update(stored, [row[MONTH] for row in later])
+    return summary, stored
+
+
+@register("A20_board_from_summaries", ORACLES["A20_dashboard"])
+def a20_summaries(spark, sf_dir):
+    summary, stored = _summary(spark, sf_dir)
+    path = shared_folder(spark, "board")
+    board.as_rows(summary.board(stored, CHOSEN, FROM, TO)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _skilled(text: str) -> str:
+    return with_views("", "postings_clean", "posting_skills").rstrip() + f", {_SKILLED}\n" + text
+
+
+@register("A4_headline_from_summaries", _skilled(q.headline("full_rows")))
+def a4_summaries(spark, sf_dir):
+    summary, stored = _summary(spark, sf_dir)
+    return summary.board(stored)["metrics"]
+
+
+@register("A11_salary_metrics_from_summaries", _skilled(q.salary_metrics("full_rows")))
+def a11_summaries(spark, sf_dir):
+    summary, stored = _summary(spark, sf_dir)
+    return summary.board(stored)["salary_metrics"]
+
+
+@register("A12_salary_histogram_from_summaries", _skilled(q.histogram("full_rows")))
+def a12_summaries(spark, sf_dir):
+    summary, stored = _summary(spark, sf_dir)
+    return summary.board(stored)["salary_histogram"]
+
+
 @register("S12_snapshot", clean(q.top_values("postings_clean", "company")))
 def s12(spark, sf_dir):
     snapshot = Snapshot(lambda: on_clean(spark, sf_dir).select("company", "location"))
