@@ -1,6 +1,6 @@
 """Command line: the daily batch, the dashboard as JSON lines per section, skills of a stored table.
 
-    python -m jobloom batch --feed-a PATH --feed-b PATH --base PATH
+    python -m jobloom batch --feed-a PATH --feed-b PATH --base PATH [--lines]
     python -m jobloom dashboard --base PATH --out PATH [--location NAME ...] [--from DAY] [--to DAY]
     python -m jobloom enrich --table PATH [--out PATH] [--strip auto|yes|no]
     python -m jobloom runs --log PATH --out PATH [--dags PATH] [-n N] [--most N]
@@ -26,19 +26,21 @@ from jobloom.sources import feeds, storage
 def _batch(spark: SparkSession, args: argparse.Namespace) -> None:
     """A feed that is not there is skipped; the run fails only if none is.
 
-    The landed files are kept as they are; those that are no JSON are counted.
+    The landed files are kept as they are; those (with `--lines`: the lines) that are no JSON are counted.
     """
+    whole = ((args.feed_a, feeds.read_feed_a, feeds.normalise_feed_a), (args.feed_b, feeds.read_feed_b, feeds.normalise_feed_b))
+    framed = (
+        (args.feed_a, feeds.read_lines, lambda lines: feeds.normalise_records_a(feeds.records(lines, "jobs"))),
+        (args.feed_b, feeds.read_lines, lambda lines: feeds.normalise_records_b(feeds.records(lines))),
+    )
     frames, corrupt, paths = [], 0, []
-    for path, read, normalise in (
-        (args.feed_a, feeds.read_feed_a, feeds.normalise_feed_a),
-        (args.feed_b, feeds.read_feed_b, feeds.normalise_feed_b),
-    ):
+    for path, read, normalise in framed if args.lines else whole:
         landed = storage.open_if_present(lambda path=path, read=read: read(spark, path)) if path else None
         frames.append(None if landed is None else normalise(landed))
         if landed is not None:
-            corrupt += feeds.corrupt_payloads(landed).count()
+            corrupt += (feeds.corrupt_lines if args.lines else feeds.corrupt_payloads)(landed).count()
             paths.append(path)
-    payload = spark.read.text(paths, wholetext=True) if paths else None
+    payload = spark.read.text(paths, wholetext=not args.lines) if paths else None
     if payload is not None:
         payload = payload.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     now = datetime.now(timezone.utc).replace(microsecond=0)
@@ -93,6 +95,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     batch.add_argument("--feed-a")
     batch.add_argument("--feed-b")
     batch.add_argument("--base", required=True)
+    batch.add_argument("--lines", action="store_true", help="the feeds hold a JSON value per line, read by many tasks")
     batch.set_defaults(run=_batch)
     board = commands.add_parser("dashboard")
     board.add_argument("--base", required=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -80,15 +81,8 @@ def _or_default(value: Column, default: str) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
-def normalise_feed_a(payloads: DataFrame, source: str = FEED_A) -> DataFrame:
-    """Raw rows from payloads with a `jobs` list; a payload without one gives none."""
-    order = [F.col("payload_no")] if "payload_no" in payloads.columns else []
-    # The outer form: for the inner one Spark tests the list for emptiness below
-    # the explode, and would parse a payload held as JSON text a second time.
-    jobs = payloads.select(*order, F.posexplode_outer("jobs").alias("place_no", "job"))
-    jobs = jobs.where(F.col("job").isNotNull())
-    job = F.col("job")
-    columns = [
+def _columns_a(job: Column, source: str) -> list[Column]:
+    return [
         F.concat(F.lit(f"{source}_"), text_or_empty(job["id"])).alias("job_id"),
         text_or_empty(job["title"]).alias("title"),
         text_or_empty(job["company_name"]).alias("company"),
@@ -102,13 +96,10 @@ def normalise_feed_a(payloads: DataFrame, source: str = FEED_A) -> DataFrame:
         text_or_empty(F.array_join(job["tags"], ", ")).alias("tags"),
         F.lit(source).alias("source"),
     ]
-    return jobs.select(*_with_order(columns, jobs))
 
 
-def normalise_feed_b(records: DataFrame, source: str = FEED_B) -> DataFrame:
-    """Raw rows from a `job` struct column; elements without an id are no postings."""
-    job = F.col("job")
-    columns = [
+def _columns_b(job: Column, source: str) -> list[Column]:
+    return [
         F.concat(F.lit(f"{source}_"), job["id"]).alias("job_id"),
         text_or_empty(job["position"]).alias("title"),
         text_or_empty(job["company"]).alias("company"),
@@ -122,7 +113,98 @@ def normalise_feed_b(records: DataFrame, source: str = FEED_B) -> DataFrame:
         text_or_empty(F.array_join(job["tags"], ", ")).alias("tags"),
         F.lit(source).alias("source"),
     ]
-    return records.where(job["id"].isNotNull()).select(*_with_order(columns, records))
+
+
+def normalise_feed_a(payloads: DataFrame, source: str = FEED_A) -> DataFrame:
+    """Raw rows from payloads with a `jobs` list; a payload without one gives none."""
+    order = [F.col("payload_no")] if "payload_no" in payloads.columns else []
+    # The outer form: for the inner one Spark tests the list for emptiness below
+    # the explode, and would parse a payload held as JSON text a second time.
+    jobs = payloads.select(*order, F.posexplode_outer("jobs").alias("place_no", "job"))
+    jobs = jobs.where(F.col("job").isNotNull())
+    return jobs.select(*_with_order(_columns_a(F.col("job"), source), jobs))
+
+
+def normalise_feed_b(records: DataFrame, source: str = FEED_B) -> DataFrame:
+    """Raw rows from a `job` struct column; elements without an id are no postings."""
+    job = F.col("job")
+    return records.where(job["id"].isNotNull()).select(*_with_order(_columns_b(job, source), records))
+
+
+# ---- landed lines ----------------------------------------------------------------------------
+# A landing framed by lines (a JSON value per line) is read by as many tasks as it has blocks, however
+# large a response was. Records stay VARIANT values, so fields that no schema names are kept.
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(payload_no, place_no, line, value) of the lines that are not blank; `value` is null where a line is no JSON."""
+    lines = spark.read.text(path).select(
+        F.concat(F.col("_metadata.file_path"), F.lit("#"), F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")).alias("payload_no"),
+        F.monotonically_increasing_id().alias("place_no"), F.col("value").alias("line"),
+    )
+    return lines.where(F.trim("line") != "").withColumn("value", F.try_parse_json("line"))
+
+
+def corrupt_lines(lines: DataFrame) -> DataFrame:
+    """Lines that are no JSON."""
+    return lines.where(F.col("value").isNull()).select("payload_no", "place_no", "line")
+
+
+def records(lines: DataFrame, list_at: str | None = None) -> DataFrame:
+    """(payload_no, place_no, record): the records of every line, in order; `payload_no` names the line.
+
+    A line holds a list of records, an object with a list in the field `list_at`, or a single
+    record: an object without such a list, but with an `id`. Whatever is no object is no record.
+    """
+    many = F.try_variant_get("value", "$", "array<variant>")
+    if list_at:
+        many = F.coalesce(many, F.try_variant_get("value", f"$.{list_at}", "array<variant>"))
+    single = F.when(F.try_variant_get("value", "$.id", "variant").isNotNull(), F.array("value"))
+    line = F.concat("payload_no", F.lit("#"), F.lpad(F.col("place_no").cast("string"), 20, "0"))
+    each = lines.select(line.alias("payload_no"), F.posexplode(F.coalesce(many, single)).alias("place_no", "record"))
+    return each.where(F.try_variant_get("record", "$", "map<string,variant>").isNotNull())
+
+
+def frame_lines(payloads: DataFrame, path: str, body: str = "value") -> None:
+    """Land responses (JSON texts in a column) as lines, a record each: lists and lists in an object's only list field are taken apart.
+
+    What a response holds beside its list is not kept; a text that is no JSON is kept as it is, on one line.
+    """
+    value = F.try_parse_json(body)
+    lists = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.try_variant_get(value, "$.jobs", "array<variant>"))
+    lines = F.coalesce(
+        F.transform(lists, lambda record: F.to_json(record)),
+        F.array(F.coalesce(F.to_json(value), F.regexp_replace(F.col(body), r"[\r\n]+", " "))),
+    )
+    payloads.select(F.explode(lines).alias("line")).write.mode("append").text(path)
+
+
+def _typed(record: Column, schema: T.StructType) -> Column:
+    """The fields of a schema out of a record; values that are no texts come as JSON."""
+
+    def field(one: T.StructField) -> Column:
+        path = f"$.{one.name}"
+        if isinstance(one.dataType, T.ArrayType):
+            return F.try_variant_get(record, path, one.dataType.simpleString()).alias(one.name)
+        text = F.try_variant_get(record, path, "string")
+        return F.coalesce(text, F.to_json(F.try_variant_get(record, path, "variant"))).alias(one.name)
+
+    return F.struct(*[field(one) for one in schema.fields])
+
+
+def normalise_records_a(found: DataFrame, source: str = FEED_A, keep_record: bool = False) -> DataFrame:
+    """`normalise_feed_a` for records out of lines; with `keep_record`, the whole record goes along.
+
+    Numbers come as VARIANT writes them: 50.10 as 50.1.
+    """
+    jobs = found.withColumn("job", _typed(F.col("record"), schemas.FEED_A_JOB))
+    return jobs.select(*_with_order(_columns_a(F.col("job"), source), jobs), *(["record"] if keep_record else []))
+
+
+def normalise_records_b(found: DataFrame, source: str = FEED_B, keep_record: bool = False) -> DataFrame:
+    """`normalise_feed_b` for records out of lines; see `normalise_records_a`."""
+    jobs = found.withColumn("job", _typed(F.col("record"), schemas.FEED_B_JOB)).where(F.col("job.id").isNotNull())
+    return jobs.select(*_with_order(_columns_b(F.col("job"), source), jobs), *(["record"] if keep_record else []))
 
 
 def combine_feeds(*feeds: DataFrame | None) -> DataFrame:

@@ -86,21 +86,24 @@ def write_csv(df: DataFrame, path: str, one_line: bool = False) -> None:
 def write_raw(raw: DataFrame, base: str, payload: DataFrame | None = None) -> None:
     """Raw postings as Parquet and CSV, and the landed objects as JSON.
 
-    CSV (and JSON, if no payload is given) are copied from the stored Parquet,
-    so the plan behind `raw` runs once.
+    CSV (a row per line, so that large files are split) and JSON, if no payload is given,
+    are copied from the stored Parquet, so the plan behind `raw` runs once.
     """
     spark = raw.sparkSession
     raw.write.mode("overwrite").parquet(f"{base}/parquet")
     stored = spark.read.parquet(f"{base}/parquet")
-    write_csv(stored, f"{base}/csv")
+    write_csv(stored, f"{base}/csv", one_line=True)
     (stored if payload is None else payload).write.mode("overwrite").json(f"{base}/json")
 
 
-def read_raw(spark: SparkSession, parquet: str | None, csv: str | None = None) -> DataFrame:
-    """Parquet if present, else CSV, else an empty frame; cleaning inputs always exist."""
+def read_raw(spark: SparkSession, parquet: str | None, csv: str | None = None, one_line: bool = True) -> DataFrame:
+    """Parquet if present, else CSV, else an empty frame; cleaning inputs always exist.
+
+    The CSV is one that `write_raw` wrote; for others, whose quoted texts hold line breaks, `one_line` is False.
+    """
     found = open_if_present(lambda: spark.read.parquet(parquet)) if parquet else None
     if found is None and csv:
-        found = open_if_present(lambda: read_csv(spark, csv))
+        found = open_if_present(lambda: read_csv(spark, csv, one_line))
     if found is None:
         found = spark.createDataFrame([], "job_id string")
     return ensure_columns(found, schemas.CLEANING_INPUTS)
@@ -128,12 +131,14 @@ def month_number(day: Column) -> Column:
 def write_by_month(postings: DataFrame, path: str) -> None:
     """Postings in a folder per month, in order of location within its files, replacing what was there.
 
-    Date bounds then choose folders, and locations row groups. Rows are dealt by ranges of month, location and
-    key, so neither a month nor a location that holds a third of all rows goes to one task.
+    Date bounds then choose folders, and locations row groups. A month is dealt over all tasks by a hash of the key,
+    so one that holds a third of all rows is no task of its own, and the plan behind the postings runs once.
     """
+    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [name for name in ("location", "job_id") if name in postings.columns]
     laid = postings.withColumn(MONTH, month_number(F.col("posted_date").try_cast("date")))
-    laid = laid.repartitionByRange(MONTH, *keys).sortWithinPartitions(MONTH, *keys)
+    dealt = F.pmod(F.xxhash64(*[F.col(name) for name in keys[-1:]]), F.lit(parts)) if keys else F.lit(0)
+    laid = laid.repartition(MONTH, dealt).sortWithinPartitions(MONTH, *keys)
     laid.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 

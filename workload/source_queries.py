@@ -38,7 +38,7 @@ select o_orderkey as payload_no, to_json(named_struct('jobs', array(
 from orders""",
     )
     parsed = F.from_json("payload", schemas.FEED_A_PAYLOAD)
-    return text.select("payload_no", parsed["jobs"].alias("jobs"))
+    return text.select("payload_no", parsed["jobs"].alias("jobs"), "payload")
 
 
 _FEED_A = """feed_a as (
@@ -66,7 +66,7 @@ select c_custkey as payload_no, to_json(named_struct(
   'tags', case when c_custkey % 2 = 1 then array(lower(c_mktsegment), 'b') end)) as record
 from customer""",
     )
-    return text.select("payload_no", F.from_json("record", schemas.FEED_B_JOB).alias("job"))
+    return text.select("payload_no", F.from_json("record", schemas.FEED_B_JOB).alias("job"), "record")
 
 
 _BOUND_LOW = "case c_custkey % 5 when 0 then 0 when 1 then null else cast(floor(abs(c_acctbal)) as bigint) + 1 end"
@@ -105,6 +105,22 @@ def s2(spark, sf_dir):
     return feed_b(spark, sf_dir).select(*schemas.RAW_COLUMNS)
 
 
+@register("S1_normalise_landed_lines", f"with {_FEED_A} select {_RAW_LIST} from feed_a")
+def s1_lines(spark, sf_dir):
+    """The same responses landed a record per line and read as VARIANT values."""
+    path = shared_folder(spark, "lines")
+    feeds.frame_lines(payloads_a(spark, sf_dir), path, "payload")
+    lines = feeds.records(feeds.read_lines(spark, path), "jobs")
+    return feeds.normalise_records_a(lines).select(*schemas.RAW_COLUMNS)
+
+
+@register("S2_normalise_landed_lines", f"with {_FEED_B} select {_RAW_LIST} from feed_b")
+def s2_lines(spark, sf_dir):
+    path = shared_folder(spark, "lines")
+    feeds.frame_lines(records_b(spark, sf_dir), path, "record")
+    return feeds.normalise_records_b(feeds.records(feeds.read_lines(spark, path))).select(*schemas.RAW_COLUMNS)
+
+
 @register("S3_salary_text", f"select c_custkey, {_SALARY_TEXT} as salary from customer")
 def s3(spark, sf_dir):
     records = records_b(spark, sf_dir)
@@ -169,7 +185,7 @@ def s6(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     storage.write_raw(pages, base)
     forms = {
-        "csv": storage.read_csv(spark, f"{base}/csv"),
+        "csv": storage.read_csv(spark, f"{base}/csv", one_line=True),
         "json": spark.read.schema(pages.schema).json(f"{base}/json"),
         "parquet": spark.read.parquet(f"{base}/parquet"),
     }
@@ -183,10 +199,25 @@ def s6(spark, sf_dir):
 def s7(spark, sf_dir):
     """Only CSV lies at the place, so the reader falls back to it."""
     base = storage.shared_folder(spark, "raw")
-    storage.write_csv(view(spark, sf_dir, "postings_raw"), f"{base}/csv")
+    storage.write_csv(view(spark, sf_dir, "postings_raw"), f"{base}/csv", one_line=True)
     return storage.read_raw(spark, f"{base}/parquet", f"{base}/csv")
 
 
+@register(
+    "S7_read_raw_line_breaks",
+    with_views("select * exclude (description), replace(description, ' ', chr(10)) || '\\n' as description"
+    " from page_postings", "page_postings"),
+)
+def s7_breaks(spark, sf_dir):
+    """Texts with line breaks and backslashes come back out of a CSV with a row per line, and out of one without."""
+    base = storage.shared_folder(spark, "raw")
+    broken = _pages(spark, sf_dir).withColumn("description", F.concat(F.replace("description", F.lit(" "), F.lit("\n")), F.lit("\\n")))
+    storage.write_csv(broken.where("job_id like '%1'"), f"{base}/lines", one_line=True)
+    storage.write_csv(broken.where("job_id not like '%1'"), f"{base}/whole")
+    read = [storage.read_raw(spark, None, f"{base}/lines"), storage.read_raw(spark, None, f"{base}/whole", one_line=False)]
+    return read[0].unionByName(read[1]).select(*broken.columns)
+
+
 @register(
     "S8_ensure_columns",
     with_views("select *, '' as category, '' as url from postings_raw", "postings_raw"),
