@@ -68,31 +68,40 @@ def search_locations(df: DataFrame, text: str) -> DataFrame:
     return location_options(df.where(F.lower("location").contains(text.lower())))
 
 
-def headline_metrics(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """Postings, companies, locations, mean skills per posting, postings with salary.
+def headline_totals(df: DataFrame) -> dict[str, Column]:
+    """What the headline adds up, as totals of `facet_counts`."""
+    has = set(df.columns)
+    given = {"posting": F.lit(1)}
+    if "skill_count" in has:
+        given["skill_count"] = F.col("skill_count")
+    if "salary_min" in has:
+        given["paid"] = number_column(df, "salary_min")
+    return given
+
+
+def headline_metrics(df: DataFrame) -> DataFrame:
+    """Postings, companies, locations, mean skills per posting, postings with salary; one pass over the postings.
 
     Distinct names are the rows of a facet: two distinct counts in one aggregate
-    would make Spark write every row three times. `counts` are facet counts
-    that exist already.
+    would make Spark write every row three times.
     """
-    has = set(df.columns)
-    mean_skills = F.round(F.avg("skill_count"), 1) if "skill_count" in has else F.lit(0.0)
-    paid = F.count(number_column(df, "salary_min")) if "salary_min" in has else F.lit(0).cast("bigint")
-    figures = df.agg(
-        _rows().alias("total_jobs"),
-        F.coalesce(mean_skills, F.lit(0.0)).alias("avg_skills"),
-        paid.alias("with_salary"),
-    )
-    if counts is None:
-        counts = facet_counts(df, {"company": F.col("company"), "location": F.col("location")})
-    return figures.withColumn("n", distinct_names(counts, "company", "location")).select(
-        "total_jobs", F.col("n.company").alias("companies"), F.col("n.location").alias("locations"), "avg_skills", "with_salary"
-    )
+    return headline_of(facet_counts(df, {"company": F.col("company"), "location": F.col("location")}, headline_totals(df)))
 
 
-def distinct_names(counts: DataFrame, *facets: str) -> Column:
-    """The number of names of each facet, as a scalar subquery."""
-    return counts.agg(F.struct(*[F.count_if(F.col("facet") == name).alias(name) for name in facets])).scalar()
+def headline_of(counts: DataFrame) -> DataFrame:
+    """The headline out of facet counts with the facets and totals that it needs."""
+
+    def of(facet: str, column: str) -> Column:
+        return F.sum(F.when(F.col("facet") == facet, F.col(column)))
+
+    mean = F.round(of("skill_count", "total") / of("skill_count", "count"), 1)
+    return counts.agg(
+        F.coalesce(of("posting", "count"), F.lit(0)).alias("total_jobs"),
+        F.count_if(F.col("facet") == "company").alias("companies"),
+        F.count_if(F.col("facet") == "location").alias("locations"),
+        F.coalesce(mean, F.lit(0.0)).alias("avg_skills"),
+        F.coalesce(of("paid", "count"), F.lit(0)).alias("with_salary"),
+    )
 
 
 def top_values(df: DataFrame, column: str | Column, n: int | None = 12) -> DataFrame:
@@ -140,25 +149,34 @@ def remote_locations(df: DataFrame, n: int = 12) -> DataFrame:
     return top_values(remote, "location", n)
 
 
-def facet_counts(df: DataFrame, facets: dict[str, Column]) -> DataFrame:
+def facet_counts(df: DataFrame, facets: dict[str, Column], totals: dict[str, Column] | None = None) -> DataFrame:
     """Rows (facet, name, count): several group counts from one pass and one shuffle.
 
     A facet is a text column, or an array of texts of which every element counts.
     Nulls do not count. Each posting meets the partial aggregate once per facet,
-    so only one row per distinct name and task travels.
+    so only one row per distinct name and task travels. `totals` are numbers to be added up: each
+    is a facet with one empty name, the count of its numbers and, in a column `total`, their sum.
     """
     kinds = dict(df.select(*[value.alias(facet) for facet, value in facets.items()]).dtypes)
+    none = F.lit(None).cast("double")
+    sums = [] if totals is None else [none.alias("total")]
 
     def cells(facet: str, value: Column) -> Column:
         names = value if kinds[facet].startswith("array") else F.array(value.cast("string"))
-        return F.transform(names, lambda name: F.struct(F.lit(facet).alias("facet"), name.alias("name")))
+        return F.transform(names, lambda name: F.struct(F.lit(facet).alias("facet"), name.alias("name"), *sums))
 
-    all_cells = F.concat(*[F.coalesce(cells(facet, value), F.array()) for facet, value in facets.items()])
+    def number(facet: str, value: Column) -> Column:
+        name = F.when(value.isNotNull(), F.lit(""))
+        return F.struct(F.lit(facet).alias("facet"), name.alias("name"), value.cast("double").alias("total"))
+
+    parts = [F.coalesce(cells(facet, value), F.array()) for facet, value in facets.items()]
+    if totals:
+        parts.append(F.array(*[number(facet, value) for facet, value in totals.items()]))
     return (
-        df.select(F.inline(all_cells))
+        df.select(F.inline(F.concat(*parts)))
         .where(F.col("name").isNotNull())
         .groupBy("facet", "name")
-        .agg(_rows().alias("count"))
+        .agg(_rows().alias("count"), *([F.sum("total").alias("total")] if sums else []))
     )
 
 

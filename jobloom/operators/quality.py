@@ -7,44 +7,41 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from jobloom.functions.common import as_col, number_column
-from jobloom.operators.market import distinct_names, facet_counts
+from jobloom.operators.market import facet_counts
 
 
 def ingestion_summary(raw: DataFrame) -> DataFrame:
-    """Totals of a raw table; sources are few and joined in name order.
+    """Totals of a raw table, in one pass; sources are few and joined in name order.
 
-    Distinct names are counted apart from the text minimum and maximum: together
-    they would make Spark sort every task's rows instead of hashing them.
+    Names and dates are counted by value before their shuffle, so that their numbers and ends are those of
+    short tables: beside distinct counts, the least and greatest text would make Spark sort every task's rows.
     """
-    names = facet_counts(raw, {name: F.col(name) for name in ("company", "location", "source")})
-    of = lambda facet: F.col("facet") == facet
-    distinct = names.agg(
-        F.struct(
-            F.count_if(of("company")).alias("companies"),
-            F.count_if(of("location")).alias("locations"),
-            # One row per source is left here, whatever the table holds.
-            F.array_join(F.array_sort(F.collect_list(F.when(of("source"), F.col("name")))), ", ").alias("sources"),
-        )
-    ).scalar()
-    totals = raw.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.min("posted_date").alias("first_posted"),
-        F.max("posted_date").alias("last_posted"),
+    counts = facet_counts(
+        raw, {name: F.col(name) for name in ("company", "location", "source", "posted_date")}, {"posting": F.lit(1)}
     )
-    return totals.withColumn("n", distinct).select(
-        "total_records", "n.sources", "n.companies", "n.locations", "first_posted", "last_posted"
+    of = lambda facet: F.col("facet") == facet
+    name_of = lambda facet: F.when(of(facet), F.col("name"))
+    day = raw.schema["posted_date"].dataType
+    return counts.agg(
+        F.coalesce(F.sum(F.when(of("posting"), F.col("count"))), F.lit(0)).alias("total_records"),
+        # One row per source is left here, whatever the table holds.
+        F.array_join(F.array_sort(F.collect_list(name_of("source"))), ", ").alias("sources"),
+        F.count_if(of("company")).alias("companies"),
+        F.count_if(of("location")).alias("locations"),
+        F.min(name_of("posted_date")).cast(day).alias("first_posted"),
+        F.max(name_of("posted_date")).cast(day).alias("last_posted"),
     )
 
 
 def cleaning_summary(clean: DataFrame) -> DataFrame:
-    names = facet_counts(clean, {"company": F.col("company"), "location": F.col("location")})
-    totals = clean.agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count(number_column(clean, "salary_min")).alias("with_salary"),
-        F.count_if(F.col("skill_count") > 0).alias("with_skills"),
-    )
-    return totals.withColumn("n", distinct_names(names, "company", "location")).select(
-        "records", "with_salary", "with_skills", F.col("n.location").alias("locations"), F.col("n.company").alias("companies")
+    """Rows, those with a salary and with skills, and distinct names, in one pass."""
+    skilled = F.when(F.col("skill_count") > 0, F.lit(1))
+    totals = {"posting": F.lit(1), "paid": number_column(clean, "salary_min"), "skilled": skilled}
+    counts = facet_counts(clean, {"company": F.col("company"), "location": F.col("location")}, totals)
+    of = lambda facet: F.coalesce(F.sum(F.when(F.col("facet") == facet, F.col("count"))), F.lit(0))
+    return counts.agg(
+        of("posting").alias("records"), of("paid").alias("with_salary"), of("skilled").alias("with_skills"),
+        F.count_if(F.col("facet") == "location").alias("locations"), F.count_if(F.col("facet") == "company").alias("companies"),
     )
 
 

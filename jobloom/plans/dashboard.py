@@ -33,7 +33,7 @@ def _facets(postings: DataFrame) -> DataFrame:
     }
     if "skills" in postings.columns:
         facets["skill"] = skill_demand.skill_array(postings)
-    return market.facet_counts(moded, facets)
+    return market.facet_counts(moded, facets, market.headline_totals(moded))
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def sections(postings: DataFrame, counts: DataFrame, sizes: Sizes = Sizes(), opt
     modes = market.facet(counts, "mode").withColumnRenamed("name", "mode")
     parts = {} if options is None else {"filter_options": options}
     parts |= {
-        "metrics": market.headline_metrics(postings, counts),
+        "metrics": market.headline_of(counts),
         "top_locations": market.facet(counts, "location", sizes.top),
         "top_companies": market.facet(counts, "company", sizes.top),
         "timeline": days.select(F.col("name").cast("date").alias("date"), "count").orderBy("date"),

@@ -164,7 +164,7 @@ class Summary:
         """
         locations = list(locations)
         facets = self.facets(locations, date_from, date_to)
-        counts = facets.select("facet", "name", "count")
+        counts = facets.select("facet", "name", "count", "total")
         month = [MONTH] if MONTH in postings.columns else []
         narrow = postings.select(*[c for c in dashboard.COLUMNS if c in postings.columns], *month)
 
@@ -175,7 +175,6 @@ class Summary:
             return market.filter_postings(market.prepare(bounded), locations, date_from, date_to).drop(MONTH)
 
         parts = dashboard.sections(chosen(), counts, sizes, self.options())
-        parts["metrics"] = _headline(facets)
         if "skill_cooccurrence" in parts:
             parts["skill_cooccurrence"] = _pairs(facets, sizes.pairs)
         if "salary_metrics" in parts:
@@ -189,20 +188,6 @@ class Summary:
         return parts
 
 
-def _headline(facets: DataFrame) -> DataFrame:
-    def of(facet: str, column: str) -> Column:
-        return F.sum(F.when(F.col("facet") == facet, F.col(column)))
-
-    mean = F.round(of("skill_count", "total") / of("skill_count", "count"), 1)
-    return facets.agg(
-        F.coalesce(of("posting", "count"), F.lit(0)).alias("total_jobs"),
-        F.count_if(F.col("facet") == "company").alias("companies"),
-        F.count_if(F.col("facet") == "location").alias("locations"),
-        F.coalesce(mean, F.lit(0.0)).alias("avg_skills"),
-        F.coalesce(of("paid", "count"), F.lit(0)).alias("with_salary"),
-    )
-
-
 def _pairs(facets: DataFrame, n: int | None) -> DataFrame:
     pairs = facets.where("facet = 'pair'").select(F.col("name").alias("a"), F.col("other").alias("b"), "count")
     return skill_demand.label_pairs(pairs, n)

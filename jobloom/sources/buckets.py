@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from jobloom.sources.storage import open_if_present, shared_folder
+from jobloom.sources.storage import exists, shared_folder
 
 BUCKETS = 64
 _BLOCK_BITS = 1 << 15  # of one row of the built-in bitmap
@@ -48,8 +48,9 @@ class BucketedTable:
 
     def _log(self, at: int | None = None) -> list:
         """Rows up to a generation; a write and its buckets are one row, however large the table is."""
-        found = open_if_present(lambda: self._spark.read.schema(self._LOG).parquet(f"{self._base}/log"))
-        rows = [] if found is None else sorted(found.collect(), key=lambda row: row["generation"])
+        path = f"{self._base}/log"
+        found = self._spark.read.schema(self._LOG).parquet(path).collect() if exists(self._spark, path) else []
+        rows = sorted(found, key=lambda row: row["generation"])
         if rows:
             self._buckets = rows[-1]["buckets"]
         self._known = True
@@ -110,7 +111,8 @@ class BucketedTable:
         placed = rows.withColumn("bucket", self.bucket()).withColumn("generation", F.lit(generation))
         writer = placed.repartition("bucket").write.partitionBy("generation", "bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self._base}/data")
-        fresh = open_if_present(lambda: self._spark.read.schema(rows.schema).parquet(f"{self._base}/data/generation={generation}"))
+        path = f"{self._base}/data/generation={generation}"
+        fresh = self._spark.read.schema(rows.schema).parquet(path) if exists(self._spark, path) else None
         touched = set(range(number) if buckets is None else buckets)
         sizes = {} if fresh is None else {row["bucket"]: row["count"] for row in fresh.groupBy("bucket").count().collect()}
         filled = set(sizes)
