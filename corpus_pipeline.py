@@ -8,6 +8,11 @@ the columns of documents.
 3. Words in passages that still occur more than once go; untouched texts keep their form.
 4. Sources are mixed to their target weights: a document appears as often as the mix takes it.
 5. The texts are packed into sequences.
+
+Defined cases: documents with a null or empty text fail the base rules and go; null languages and sources
+are groups of their own; repeated rows and rows that repeat an id are copies, of which one stays; a null id is
+an id like any other; texts may be of any length; stages that leave no document give an empty table to the
+next one; columns beyond those of documents are carried to the last stage, whatever their names.
 """
 
 from __future__ import annotations

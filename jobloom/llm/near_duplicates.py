@@ -3,13 +3,14 @@
 A text is the set of its runs of five words; a text of one to four words is one run. Texts
 with equal sets are one class, and one of them stands for all.
 
-Every class has `trees` signatures of up to `longest` min-hashes. A tree is the trie of the
-signatures in sorted order; two classes meet in it where they share a prefix. From the longest
-prefix on, prefixes are shortened until a pair at the threshold meets in some tree with the
-target recall; texts that are more alike meet with near certainty. No class stops at a longer
-prefix because it has met others there: every link counts, not only the nearest ones. Classes that meet, directly or
-through others, are a candidate group. Within it all pairs are verified on the shingle sets
-themselves, so what comes out is exact, and a pair that met nowhere may still be found.
+Every class has `trees` signatures of min-hashes, compared from their first hash on. In a forest of
+tries, prefixes are shortened from `longest` hashes until a text has met enough others. Here every
+link counts, so no class may stop early: the length at which a pair at the threshold meets in
+some tree with the target recall is the same for all classes and follows from the threshold (5 hashes
+for 0.8 and 24 trees). So the tries are not walked down: classes meet where they share the whole prefix of
+that length, and only its hash is kept. Classes that meet, directly or through others, are a candidate
+group. Within it all pairs are verified on the shingle sets themselves, so what comes out is exact,
+and a pair that met nowhere may still be found.
 
 No pairs are listed. Large groups are cut into blocks, every two blocks are compared in a task of
 bounded size by counting common shingles in matrices, and a class gets its number of links and

@@ -191,7 +191,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, trained: Column, label:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     chosen = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
-    rows = text_statistics(chosen).limit(sample).join(known, "doc_id").orderBy("doc_id").collect()
+    # Rows that repeat an id are chosen by their content, so that reruns learn from the same ones.
+    rows = text_statistics(chosen).join(F.broadcast(known), "doc_id").orderBy("doc_id", F.xxhash64(*STATISTICS)).limit(sample).collect()
     x = np.array([[row[name] for name in STATISTICS] for row in rows], float).reshape(len(rows), len(STATISTICS))
     return x, np.array([row["label"] for row in rows], float)
 

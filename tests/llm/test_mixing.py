@@ -68,3 +68,7 @@ def test_heavier_documents_are_taken_more_often(spark):
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     check(mixing.mix(odd_docs, carry=tuple(odd_docs.columns)).collect(), [(r[0], r[1], r[3]) for r in odd_rows])
     assert mixing.mix(no_docs).collect() == []
+
+
+def test_plan_has_no_python(odd_docs):
+    assert "Python" not in mixing.mix(odd_docs)._jdf.queryExecution().executedPlan().toString()

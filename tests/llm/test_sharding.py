@@ -52,3 +52,7 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, tmp_path):
     assert set(stored.columns) == {*odd_docs.columns, "shard"} and stored.count() == len(odd_rows)
     with pytest.raises(ValueError, match="too many cells"):
         sharding.hilbert_shards(odd_docs, bits=8)
+
+
+def test_plan_has_no_python(odd_docs):
+    assert "Python" not in sharding.hilbert_shards(odd_docs)._jdf.queryExecution().executedPlan().toString()
