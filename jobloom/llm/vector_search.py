@@ -1,9 +1,10 @@
 """Exact top-k search by inner product with a vector-approximation file (operator 3).
 
-Every vector's components are cut into cells of equal width; the cell numbers (a byte per
-component) are the approximation file. A scan of the cells gives bounds for the score of a
-query and a vector: the score with the cell centres, plus or minus half a cell times the
-query's absolute sum. Vectors whose upper bound is below the k-th best lower bound are
+Every dimension has cells of its own: equal ones between its outer quantiles, and beyond them cells
+that double in width, so that a few wild values widen no cell that ordinary ones lie in. The cell
+numbers (a byte per component) are the approximation file. A scan of the cells gives bounds for the score of a
+query and a vector: the score with the cell centres, plus or minus the halves of the cells
+weighed by the query's absolute components. Vectors whose upper bound is below the k-th best lower bound are
 out. Of the rest the exact vectors are read in order of their bound: first the best few, then only
 those whose bound still reaches the k-th exact score. The result is exact.
 
@@ -33,6 +34,8 @@ from pyspark.sql.window import Window
 from jobloom.sources.storage import shared_folder
 
 CELLS = 64
+OUTER = 40  # cells beyond each quantile; the last one reaches to the end
+TAIL = 0.005  # share of the values beyond either quantile
 CELL_BLOCK = 16_384
 QUERY_BLOCK = 2_048
 LEAST_BLOCKS = 64
@@ -74,9 +77,44 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
-def _scan(low: float, width: float, wanted: int):
+class Grid:
+    """The cells of every dimension: `low` and `width` of the equal ones, `least` and `greatest` value of all."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray, least: np.ndarray, greatest: np.ndarray, cells: int):
+        self.cells, self.low, self.least, self.greatest = cells, low, least, greatest
+        self.width = np.maximum(np.ceil((high - low) / cells), 1.0)
+
+    def code(self, v: Column) -> Column:
+        """The cells of a vector as bytes; JVM arithmetic, repeated by no one else."""
+        low, width = (F.array(*[F.lit(float(x)) for x in values]) for values in (self.low, self.width))
+        reach = float(self.cells)
+
+        def cell(x: Column, i: Column) -> Column:
+            place = (x - F.get(low, i)) / F.get(width, i)
+            doubled = lambda away: F.least(F.floor(F.log2(away / reach + 1)), F.lit(OUTER - 1))
+            return (
+                F.when(place < 0, self.cells + doubled(-place))
+                .when(place >= reach, self.cells + OUTER + doubled(place - reach))
+                .otherwise(F.floor(place))
+            )
+
+        return F.unhex(F.array_join(F.transform(v, lambda x, i: F.lpad(F.hex(cell(x, i).cast("long")), 2, "0")), ""))
+
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Centre and half width of each cell, per dimension; a little wide, as places are rounded."""
+        low, width = self.low[:, None], self.width[:, None]
+        inner = np.arange(self.cells + 1)[None, :] * width + low
+        span = (2.0 ** np.arange(OUTER + 1) - 1)[None, :] * self.cells * width
+        below, above = low - span, inner[:, -1:] + span
+        below[:, -1], above[:, -1] = np.minimum(below[:, -1], self.least), np.maximum(above[:, -1], self.greatest)
+        start = np.concatenate([inner[:, :-1], below[:, 1:], above[:, :-1]], 1)
+        end = np.concatenate([inner[:, 1:], below[:, :-1], above[:, 1:]], 1)
+        half = (end - start) / 2
+        return start + half, half * (1 + 1e-9) + 1e-9 * (np.abs(start) + np.abs(end)) + 1e-9
+
+
+def _scan(grids: dict[int, Grid], wanted: int):
     """Bounds of a block of queries against a block of cells: per query the classes that may count."""
-    half = (width - 1) / 2
 
     def run(queries: pa.Table, cells: pa.Table) -> pa.Table:
         out = {"query": [], "class": [], "upper": [], "lower": []}
@@ -84,40 +122,53 @@ def _scan(low: float, width: float, wanted: int):
             q, names = _matrix(queries["v"]), queries["class"].to_numpy()
             ids = cells["class"].to_numpy()
             codes = np.frombuffer(b"".join(cells["codes"].to_pylist()), np.uint8).reshape(len(ids), q.shape[1])
-            size = np.abs(q).sum(1)
+            kept: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))] * len(q)
             with np.errstate(over="ignore", invalid="ignore"):
-                slack = (size * half)[:, None]
-                slack = slack + 1e-9 * slack + 1e-12 * (size * (abs(low) + 256 * width))[:, None]
-            wild = ~np.isfinite(slack[:, 0])  # nothing is known of their scores
-            slack[wild] = np.inf
-            kept: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(q)
-            for at in range(0, len(ids), _CHUNK):
-                centre = low + codes[at : at + _CHUNK].astype(np.float64) * width + half
-                with np.errstate(over="ignore", invalid="ignore"):
-                    middle = q @ centre.T
-                middle[wild] = 0.0
-                cut = np.full(len(q), -np.inf)
-                if middle.shape[1] >= wanted:
-                    cut = np.partition(middle, -wanted, axis=1)[:, -wanted]
-                rows, places = np.nonzero(middle >= cut[:, None] - 2 * slack)
-                ends = np.searchsorted(rows, np.arange(len(q) + 1))
-                for i in range(len(q)):
-                    own = places[ends[i] : ends[i + 1]]
-                    kept[i] = tuple(np.concatenate(pair) for pair in zip(kept[i], (ids[at + own], middle[i, own]), strict=True))
-            for i, (found, middle) in enumerate(kept):
+                # Vectors without components score nothing with each other.
+                centre, half = grids[q.shape[1]].bounds() if q.shape[1] else (np.zeros((0, 1)), np.zeros((0, 1)))
+                places = np.arange(q.shape[1])
+                for at in range(0, len(ids), _CHUNK):
+                    own = codes[at : at + _CHUNK]
+                    middle = q @ centre[places, own].T
+                    slack = np.abs(q) @ (half[places, own] + 1e-12 * np.abs(centre[places, own])).T
+                    upper, lower = middle + slack, middle - slack
+                    known = np.isfinite(upper) & np.isfinite(lower)  # of other pairs nothing is known
+                    upper[~known], lower[~known] = np.inf, -np.inf
+                    cut = np.full(len(q), -np.inf)
+                    if lower.shape[1] >= wanted:
+                        cut = np.partition(lower, -wanted, axis=1)[:, -wanted]
+                    rows, near = np.nonzero(upper >= cut[:, None])
+                    ends = np.searchsorted(rows, np.arange(len(q) + 1))
+                    for i in range(len(q)):
+                        some = near[ends[i] : ends[i + 1]]
+                        found = (ids[at + some], upper[i, some], lower[i, some])
+                        kept[i] = tuple(np.concatenate(pair) for pair in zip(kept[i], found, strict=True))
+            for i, (found, upper, lower) in enumerate(kept):
                 if len(found) > wanted:
-                    near = middle >= np.partition(middle, -wanted)[-wanted] - 2 * slack[i]
-                    found, middle = found[near], middle[near]
+                    near = upper >= np.partition(lower, -wanted)[-wanted]
+                    found, upper, lower = found[near], upper[near], lower[near]
                 out["query"].append(np.full(len(found), names[i]))
                 out["class"].append(found)
-                out["upper"].append(middle + slack[i])
-                out["lower"].append(middle - slack[i])
+                out["upper"].append(upper)
+                out["lower"].append(lower)
         joined = {n: np.concatenate(x) if x else np.zeros(0, np.int64 if n in ("query", "class") else np.float64) for n, x in out.items()}
         return pa.table(joined)
 
     return run
 
 
+def _grids(classes: DataFrame, cells: int) -> dict[int, Grid]:
+    """A grid per vector length, from quantiles and ends of each dimension: rows of vectors by place, combined before their shuffle."""
+    each = classes.select(F.size("v").alias("length"), F.posexplode("v").alias("place", "x"))
+    found = each.groupBy("length", "place").agg(
+        F.percentile_approx("x", [TAIL, 1 - TAIL], 1000).alias("q"), F.min("x").alias("least"), F.max("x").alias("greatest")
+    )
+    rows: dict[int, dict[int, tuple]] = {}
+    for row in found.collect():
+        rows.setdefault(row["length"], {})[row["place"]] = (*row["q"], row["least"], row["greatest"])
+    return {n: Grid(*np.array([own[i] for i in range(n)]).T, cells) for n, own in rows.items()}
+
+
 @F.udf(ArrayType(LongType()))
 def _any_size(q, v):
     """The exact score and 0; or, beyond a long, 0 and the side on which it lies."""
@@ -160,14 +211,15 @@ def top_k(
     bounds = classes.agg(F.count("*").alias("n"), F.min(F.array_min("v")).alias("low"), F.max(F.array_max("v")).alias("high"), F.max(F.size("v")).alias("length")).first()
     n_queries = queries.count()
     low, high = int(bounds["low"] or 0), int(bounds["high"] or 0)
-    width = float((high - low) // min(cells, 256) + 1)
     sure = max(abs(low), abs(high)) ** 2 * (bounds["length"] or 0) < SURE
-    low = float(low)
+    grids = _grids(classes, min(cells, 256 - 2 * OUTER))
     blocks = max(-(-bounds["n"] // cell_block), LEAST_BLOCKS)
     query_blocks = max(-(-n_queries // query_block), 1)
 
     place = F.struct(F.size("v").alias("length"), F.col("q"), F.col("c")).alias("at")
-    cell = F.transform("v", lambda x: F.lpad(F.hex(F.floor(F.least((x - low) / width, F.lit(255.0)))), 2, "0"))
+    codes = F.lit(b"")
+    for length, grid in grids.items():
+        codes = F.when(F.size("v") == length, grid.code(F.col("v"))).otherwise(codes)
     left = (
         queries.withColumn("q", F.pmod(F.xxhash64("class"), F.lit(query_blocks)).cast("int"))
         .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -176,10 +228,10 @@ def top_k(
     right = (
         classes.withColumn("c", F.pmod(F.xxhash64("class"), F.lit(blocks)).cast("int"))
         .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .select(place, "class", F.unhex(F.array_join(cell, "")).alias("codes"))
+        .select(place, "class", codes.alias("codes"))
     )
     near = left.groupBy("at").cogroup(right.groupBy("at")).applyInArrow(
-        _scan(low, width, wanted), "query long, class long, upper double, lower double"
+        _scan(grids, wanted), "query long, class long, upper double, lower double"
     )
     near = _written(near, "near")
     by_lower = Window.partitionBy("query").orderBy(F.desc("lower"))

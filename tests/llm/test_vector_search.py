@@ -63,3 +63,24 @@ def test_large_components(spark):
     with pytest.raises(Exception, match="does not fit a long"):
         found(spark, [(0, [2.0**100, 1.0]), (1, [1.0, 1.0])])
     assert not found(spark, [])
+
+
+def test_wild_values_leave_the_bounds_of_others(spark):
+    """One vector of large components does not blur the cells that the others lie in."""
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    base = np.floor(draw.normal(0, 30, (2000, 8)))
+    wild = np.vstack([base, [[60_000.0 * 256, -9e9, 1.0, 0.0, 7e12, -3.0, 2.0, 1.0]]])
+
+    def half_of(rows):
+        frame = spark.createDataFrame([(r.tolist(),) for r in rows], "v array<double>")
+        grid = vector_search._grids(frame, 64)[8]
+        centre, half = grid.bounds()
+        codes = [list(bytes(r["c"])) for r in frame.select(grid.code(F.col("v")).alias("c")).collect()]
+        held = centre[np.arange(8), codes], half[np.arange(8), codes]
+        assert (np.abs(rows - held[0]) <= held[1]).all()
+        return held[1][:2000]
+
+    alone, beside = half_of(base), half_of(wild)
+    assert np.median(beside) < 2 * np.median(alone) and beside.max() < 3 * alone.max()
