@@ -178,6 +178,8 @@ def delete_keys(table: BucketedTable, keys: DataFrame) -> int:
     keys.select(F.col(table.key).alias("_key")).distinct().write.parquet(path)
     gone = keys.sparkSession.read.parquet(path)
     touched = table.touched(gone, "_key")
+    if table.generation() is None:
+        raise ValueError("nothing has been stored yet")
     return table.replace(table.read(touched).join(gone, F.col(table.key).eqNullSafe(F.col("_key")), "left_anti"), touched)
 
 

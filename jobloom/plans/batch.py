@@ -49,7 +49,8 @@ def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time:
     path = storage.shared_folder(spark, "accepted")
     watched.write.parquet(path)
     accepted = spark.read.parquet(path)
-    jobs, links = (buckets.BucketedTable(spark, f"{warehouse_base}/{name}", "job_id") for name in ("jobs", "job_skills"))
+    jobs = buckets.BucketedTable(spark, f"{warehouse_base}/jobs", "job_id")
+    links = buckets.BucketedTable(spark, f"{warehouse_base}/job_skills", "job_id", filters=False)
     skills = storage.VersionedTable(spark, f"{warehouse_base}/skills")
     warehouse.upsert_buckets(jobs, accepted.drop("skills"), batch_time, unique=True)
     dim = skills.write(warehouse.upsert_skill_dim(skills.read(), warehouse.skill_names(accepted)))

@@ -84,8 +84,8 @@ class Summary:
 
     def __init__(self, spark: SparkSession, base: str, buckets: int = 32):
         self._spark = spark
-        self.counts = BucketedTable(spark, f"{base}/counts", MONTH, buckets)
-        self.amounts = BucketedTable(spark, f"{base}/amounts", MONTH, buckets)
+        self.counts = BucketedTable(spark, f"{base}/counts", MONTH, buckets, filters=False)
+        self.amounts = BucketedTable(spark, f"{base}/amounts", MONTH, buckets, filters=False)
 
     def update(self, postings: DataFrame, months: Iterable[int | None] | None = None) -> None:
         """Summarise the postings anew: all months, or those given (as year * 100 + month, None: no date).

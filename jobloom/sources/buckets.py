@@ -36,15 +36,17 @@ def _stored(df: DataFrame, purpose: str) -> DataFrame:
 class BucketedTable:
     """`key` may repeat (links of a posting) or not (postings); null is a key like any other.
 
-    `buckets` holds for a table when it is first written; later it is read from the log.
+    `buckets` and `filters` (whether to keep Bloom filters, for tables that `unknown` is asked of) hold for
+    a table when it is first written; later they are read from the log.
     """
 
-    def __init__(self, spark: SparkSession, base: str, key: str, buckets: int = BUCKETS):
-        self._spark, self._base, self.key, self._buckets, self._known = spark, base.rstrip("/"), key, buckets, False
+    def __init__(self, spark: SparkSession, base: str, key: str, buckets: int = BUCKETS, filters: bool = True):
+        self._spark, self._base, self.key = spark, base.rstrip("/"), key
+        self._buckets, self._filtered, self._known = buckets, filters, False
 
     # ---- the log: a row per generation ----
 
-    _LOG = "generation int, buckets int, filled array<int>, emptied array<int>, schema string"
+    _LOG = "generation int, buckets int, filled array<int>, emptied array<int>, filtered boolean, schema string"
 
     def _log(self, at: int | None = None) -> list:
         """Rows up to a generation; a write and its buckets are one row, however large the table is."""
@@ -52,7 +54,7 @@ class BucketedTable:
         found = self._spark.read.schema(self._LOG).parquet(path).collect() if exists(self._spark, path) else []
         rows = sorted(found, key=lambda row: row["generation"])
         if rows:
-            self._buckets = rows[-1]["buckets"]
+            self._buckets, self._filtered = rows[-1]["buckets"], rows[-1]["filtered"]
         self._known = True
         if at is not None and at not in {row["generation"] for row in rows}:
             raise ValueError(f"{self._base} has no generation {at}")
@@ -118,14 +120,15 @@ class BucketedTable:
         filled = set(sizes)
         if filled - touched:
             raise ValueError(f"rows of buckets that were not to be replaced: {sorted(filled - touched)}")
-        if filled:
+        if filled and self._filtered:
             self._write_filter(fresh, generation, max(sizes.values()))
         if (self.generation() or 0) != generation - 1:
             raise RuntimeError(f"another writer changed {self._base} meanwhile")
         numbers = lambda values: F.array(*[F.lit(v) for v in sorted(values)]).cast("array<int>")
         entry = self._spark.range(0, 1, 1, 1).select(
             F.lit(generation).alias("generation"), F.lit(number).alias("buckets"), numbers(filled).alias("filled"),
-            numbers(touched - filled).alias("emptied"), F.lit(rows.schema.json()).alias("schema"),
+            numbers(touched - filled).alias("emptied"), F.lit(self._filtered).alias("filtered"),
+            F.lit(rows.schema.json()).alias("schema"),
         )
         entry.write.mode("append").parquet(f"{self._base}/log")
         return generation
@@ -198,19 +201,19 @@ class BucketedTable:
         writer = bits.repartition("bucket").write.partitionBy("generation", "bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self._base}/filters")
 
-    def _filters(self) -> DataFrame | None:
-        current = self._current(self._log())
-        paths = [f"{self._base}/filters/generation={g}/bucket={b}" for b, g in sorted(current.items())]
-        if not paths:
-            return None
+    def _filters(self, log: list) -> DataFrame:
+        paths = [f"{self._base}/filters/generation={g}/bucket={b}" for b, g in sorted(self._current(log).items())]
         schema = "block long, bits binary, blocks long, generation int, bucket int"
         return self._spark.read.schema(schema).option("basePath", f"{self._base}/filters").parquet(*paths).drop("generation")
 
     def possibly_known(self, rows: DataFrame) -> DataFrame:
         """`rows` with `_maybe`: false only where the key is surely not stored."""
-        filters = self._filters()
-        if filters is None:
+        log = self._log()
+        if not self._current(log):
             return rows.withColumn("_maybe", F.lit(False))
+        if not self._filtered:
+            return rows.withColumn("_maybe", F.lit(True))
+        filters = self._filters(log)
         sizes = filters.groupBy("bucket").agg(F.max("blocks").alias("_blocks")).withColumnRenamed("bucket", "_bucket")
         asked = rows.withColumn("_bucket", self.bucket()).join(sizes, "_bucket", "left")
         asked = asked.withColumn("_block", self._block(F.col(self.key), F.col("_blocks")))

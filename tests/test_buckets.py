@@ -106,6 +106,15 @@ def test_key_types_and_odd_keys(spark, tmp_path):
     table.replace(spark.range(50).select(F.col("id").cast("int").alias("job_id")))
     again = BucketedTable(spark, str(tmp_path / "t"), "job_id", buckets=99)
     assert again.unknown(spark.range(40, 60).withColumnRenamed("id", "job_id")).count() == 10
+    with pytest.raises(ValueError, match="nothing has been stored"):
+        warehouse.delete_keys(BucketedTable(spark, str(tmp_path / "none"), "job_id"), spark.range(3).withColumnRenamed("id", "job_id"))
+    plain = BucketedTable(spark, str(tmp_path / "plain"), "job_id", buckets=2, filters=False)
+    plain.replace(spark.range(50).withColumnRenamed("id", "job_id"))
+    assert not (tmp_path / "plain/filters").exists()
+    assert BucketedTable(spark, str(tmp_path / "plain"), "job_id").unknown(spark.range(40, 60).withColumnRenamed("id", "job_id")).count() == 10
+    empty = spark.range(0).withColumnRenamed("id", "job_id")
+    assert plain.replace(empty, []) == 2 and plain.read().count() == 50
+    assert warehouse.upsert_buckets(BucketedTable(spark, str(tmp_path / "first"), "job_id"), empty, DAY_1) == 1
     assert again.touched(spark.range(500).withColumnRenamed("id", "job_id")) == [0, 1, 2, 3]
 
 
@@ -123,7 +132,7 @@ def test_changes(spark, jobs):
 
 
 def test_links_follow_the_change_set(spark, jobs, tmp_path):
-    links = BucketedTable(spark, str(tmp_path / "links"), "job_id", buckets=16)
+    links = BucketedTable(spark, str(tmp_path / "links"), "job_id", buckets=16, filters=False)
     pairs = jobs.read().select("job_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("skill_id"))
     warehouse.add_links(links, pairs)
     warehouse.add_links(links, pairs.where("job_id = 'j5'"))  # known ones
