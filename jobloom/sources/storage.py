@@ -248,10 +248,9 @@ class VersionedTable:
         self._spark, self._base = spark, base.rstrip("/")
 
     def _pointer(self) -> tuple[int, str] | None:
-        reader = self._spark.read.schema("version int, path string")
-        log = open_if_present(lambda: reader.parquet(f"{self._base}/_pointer_log"))
-        if log is None:
+        if not exists(self._spark, f"{self._base}/_pointer_log"):
             return None
+        log = self._spark.read.schema("version int, path string").parquet(f"{self._base}/_pointer_log")
         newest = log.agg(F.max(F.struct("version", "path")).alias("at")).first()["at"]
         return (newest["version"], newest["path"]) if newest else None
 
