@@ -19,12 +19,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from jobloom.operators.keyed import content_order
 from jobloom.sources.storage import exists, shared_folder
 
 BUCKETS = 64
-_BLOCK_BITS = 1 << 15  # of one row of the built-in bitmap
-_KEYS_PER_BLOCK = 2048  # 16 bits a key
-_PROBES = 7
+_WORDS, _WORD_BITS = 4, 6  # of a block: four longs; 6 bits of a hash name one bit of a long
+_KEYS_PER_BLOCK = 16  # 16 bits a key
 
 
 def _stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -106,12 +106,16 @@ class BucketedTable:
     def replace(self, rows: DataFrame, buckets: list[int] | None = None) -> int:
         """Store `rows` as the whole content of the given buckets (all of them); the new generation.
 
-        `rows` may read the table. All its keys lie in these buckets.
+        `rows` may read the table. All its keys lie in these buckets. With more shuffle partitions than
+        buckets, a bucket is dealt over several tasks by its rows' content, so neither the number of
+        buckets nor a key of many rows decides what one task sorts.
         """
         log = self._log()
         number, generation = self._number(), log[-1]["generation"] + 1 if log else 1
         placed = rows.withColumn("bucket", self.bucket()).withColumn("generation", F.lit(generation))
-        writer = placed.repartition("bucket").write.partitionBy("generation", "bucket").mode("overwrite")
+        pieces = -(-int(self._spark.conf.get("spark.sql.shuffle.partitions")) // number)
+        dealt = placed.repartition("bucket", F.pmod(content_order(rows), F.lit(pieces))) if pieces > 1 else placed.repartition("bucket")
+        writer = dealt.write.partitionBy("generation", "bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self._base}/data")
         path = f"{self._base}/data/generation={generation}"
         fresh = self._spark.read.schema(rows.schema).parquet(path) if exists(self._spark, path) else None
@@ -182,28 +186,37 @@ class BucketedTable:
     # ---- Bloom filters ----
 
     @staticmethod
-    def _probes(key: Column) -> Column:
-        text = key.cast("string")
-        first, second = F.xxhash64(text, F.lit("first")), F.xxhash64(text, F.lit("second"))
-        return F.transform(F.sequence(F.lit(0), F.lit(_PROBES - 1)), lambda i: F.pmod(F.pmod(first, F.lit(_BLOCK_BITS)) + i * F.pmod(second, F.lit(_BLOCK_BITS - 1)) + i, F.lit(_BLOCK_BITS)))
+    def _probes(key: Column) -> list[Column]:
+        """The bits of a key: two in each word of its block."""
+        hashed = F.xxhash64(key.cast("string"), F.lit("bits"))
+        place = lambda n: F.shiftright(hashed, n * _WORD_BITS).bitwiseAND((1 << _WORD_BITS) - 1).cast("int")
+        bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), place(n))
+        return [bit(2 * word).bitwiseOR(bit(2 * word + 1)) for word in range(_WORDS)]
 
     @staticmethod
     def _block(key: Column, blocks: Column) -> Column:
         return F.pmod(F.xxhash64(key.cast("string"), F.lit("block")), blocks)
 
+    def _bits(self, fresh: DataFrame, largest: int) -> DataFrame:
+        """Bits of the keys of some rows (with `bucket`), in blocks of a few words; as many as the largest bucket asks for.
+
+        Each key is one row of an aggregate that is combined before its shuffle: a task holds a block per 16 keys.
+        """
+        key, blocks = F.col(self.key), F.lit(-(-largest // _KEYS_PER_BLOCK)).cast("long")
+        words = [word.alias(f"word_{n}") for n, word in enumerate(self._probes(key))]
+        keyed = fresh.select("bucket", self._block(key, blocks).alias("block"), *words)
+        bits = keyed.groupBy("bucket", "block").agg(*[F.bit_or(f"word_{n}").alias(f"word_{n}") for n in range(_WORDS)])
+        return bits.withColumn("blocks", blocks)
+
     def _write_filter(self, fresh: DataFrame, generation: int, largest: int) -> None:
-        """Bits of the keys just written, in blocks of one built-in bitmap; as many as the largest bucket asks for."""
-        blocks = F.lit(-(-largest // _KEYS_PER_BLOCK)).cast("long")
-        keyed = fresh.select("bucket", self._block(F.col(self.key), blocks).alias("block"), F.explode(self._probes(F.col(self.key))).alias("bit"))
-        bits = keyed.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bits")).withColumns(
-            {"blocks": blocks, "generation": F.lit(generation)}
-        )
+        bits = self._bits(fresh, largest).withColumn("generation", F.lit(generation))
         writer = bits.repartition("bucket").write.partitionBy("generation", "bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self._base}/filters")
 
     def _filters(self, log: list) -> DataFrame:
         paths = [f"{self._base}/filters/generation={g}/bucket={b}" for b, g in sorted(self._current(log).items())]
-        schema = "block long, bits binary, blocks long, generation int, bucket int"
+        words = "".join(f"word_{n} long, " for n in range(_WORDS))
+        schema = f"block long, {words}blocks long, generation int, bucket int"
         return self._spark.read.schema(schema).option("basePath", f"{self._base}/filters").parquet(*paths).drop("generation")
 
     def possibly_known(self, rows: DataFrame) -> DataFrame:
@@ -217,11 +230,12 @@ class BucketedTable:
         sizes = filters.groupBy("bucket").agg(F.max("blocks").alias("_blocks")).withColumnRenamed("bucket", "_bucket")
         asked = rows.withColumn("_bucket", self.bucket()).join(sizes, "_bucket", "left")
         asked = asked.withColumn("_block", self._block(F.col(self.key), F.col("_blocks")))
-        held = filters.select(F.col("bucket").alias("_bucket"), F.col("block").alias("_block"), "bits")
-        byte = lambda bit: F.substring("bits", (bit / 8).cast("int") + 1, 1)
-        is_set = lambda bit: F.conv(F.hex(byte(bit)), 16, 10).cast("int").bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0
-        maybe = F.coalesce(F.forall(self._probes(F.col(self.key)), is_set), F.lit(False))
-        return asked.join(held, ["_bucket", "_block"], "left").withColumn("_maybe", maybe).drop("_bucket", "_block", "_blocks", "bits")
+        words = [f"word_{n}" for n in range(_WORDS)]
+        held = filters.select(F.col("bucket").alias("_bucket"), F.col("block").alias("_block"), F.struct(*words).alias("_words"))
+        has = [F.col("_words")[name].bitwiseAND(bits) == bits for name, bits in zip(words, self._probes(F.col(self.key)), strict=True)]
+        # Blocks that an earlier form of the filter stored have no words: they rule out nothing.
+        maybe = F.col("_words").isNotNull() & F.coalesce(reduce(Column.__and__, has), F.lit(True))
+        return asked.join(held, ["_bucket", "_block"], "left").withColumn("_maybe", maybe).drop("_bucket", "_block", "_blocks", "_words")
 
     def unknown(self, rows: DataFrame) -> DataFrame:
         """The rows whose key is not stored, exact.

@@ -1,6 +1,7 @@
 """Bucketed tables: cost of a write, readers meanwhile, change sets, known keys."""
 
 import random
+import shutil
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -194,3 +195,41 @@ def test_the_row_that_stays_does_not_depend_on_partitions(spark):
         assert {tuple(map(str, r)) for r in tied.collect()} == chosen
     target = warehouse.upsert(None, rows.select("k", "v"), "k", DAY_1)
     assert rows_of(target, "k", "v") == rows_of(warehouse.upsert(None, rows.select("k", "v").repartition(5), "k", DAY_1), "k", "v")
+
+
+def test_a_filter_is_built_without_sorting_its_keys(spark, jobs):
+    fresh = jobs.read().withColumn("bucket", jobs.bucket())
+    bits = jobs._bits(fresh, 400)
+    plan = bits._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan and "Generate" not in plan
+    assert bits.agg(F.sum(F.size(F.array("word_0", "word_1", "word_2", "word_3")))).first()[0] <= 4 * 400
+
+
+def test_filters_without_words_rule_out_nothing(spark, jobs, tmp_path):
+    """Filters that an earlier form stored: a block number, and bits of another kind."""
+    shutil.copytree(tmp_path / "jobs", tmp_path / "earlier")
+    old = spark.read.parquet(str(tmp_path / "jobs/filters")).select("block", F.lit("?").cast("binary").alias("bits"), "blocks", "generation", "bucket")
+    old.write.mode("overwrite").partitionBy("generation", "bucket").parquet(str(tmp_path / "earlier/filters"))
+    asked = batch_of(spark, *[(f"j{i}", i) for i in range(500)], (None, -1))
+    for name in ("jobs", "earlier"):
+        found = BucketedTable(spark, str(tmp_path / name), "job_id").unknown(asked)
+        assert rows_of(found, "v") == sorted([(i,) for i in range(400, 500)] + [(-1,)], key=str)
+
+
+def test_a_bucket_is_dealt_over_several_tasks(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 7).alias("job_id"), F.col("id").alias("v"))
+    table = BucketedTable(spark, str(tmp_path / "t"), "job_id", buckets=2)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        table.replace(rows)  # null is the key of half the rows
+        files_of_null = table.read(table.touched(rows.where("job_id is null"))).inputFiles()
+        assert len(files_of_null) > 4
+        assert rows_of(table.read(), "job_id", "v") == rows_of(rows, "job_id", "v")
+        warehouse.delete_keys(table, rows.where("job_id is null"))
+        assert table.read().count() == 2000 and table.unknown(batch_of(spark, ("3", 0), (None, 0))).count() == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
