@@ -158,16 +158,23 @@ def prune_orphans(links: DataFrame, jobs: DataFrame, dim: DataFrame) -> DataFram
 
 
 def upsert_buckets(
-    table: BucketedTable, batch: DataFrame, batch_time: datetime | Column, order: list[str] | None = None, unique: bool = False
+    table: BucketedTable,
+    batch: DataFrame,
+    batch_time: datetime | Column,
+    order: list[str] | None = None,
+    unique: bool = False,
+    stored: bool = False,
 ) -> int:
     """`upsert` into a bucketed table: only the buckets of the batch's keys are read and written; the new generation.
 
-    The batch without repeats is written once. Applying a batch again gives the same table.
+    The batch without repeats is written once, unless it is `unique` and read from `stored` files as it is.
+    Applying a batch again gives the same table.
     """
     fresh = batch if unique else dedupe_last(batch, table.key, order or [])
-    path = shared_folder(batch.sparkSession, "batch")
-    fresh.write.parquet(path)
-    fresh = batch.sparkSession.read.parquet(path)
+    if not (unique and stored):
+        path = shared_folder(batch.sparkSession, "batch")
+        fresh.write.parquet(path)
+        fresh = batch.sparkSession.read.parquet(path)
     touched = table.touched(fresh)
     return table.replace(upsert(table.read(touched), fresh, table.key, batch_time, unique=True), touched)
 
@@ -183,13 +190,20 @@ def delete_keys(table: BucketedTable, keys: DataFrame) -> int:
     return table.replace(table.read(touched).join(gone, F.col(table.key).eqNullSafe(F.col("_key")), "left_anti"), touched)
 
 
-def add_links(links: BucketedTable, found: DataFrame) -> int:
-    """Store links of postings, each pair once; only the buckets of these postings are read and written."""
+def add_links(links: BucketedTable, found: DataFrame, unique: bool = False) -> int:
+    """Store links of postings, each pair once; only the buckets of these postings are read and written.
+
+    `unique=True` says that the links found hold few repeats: then stored and new ones meet in the one
+    shuffle that writes them. Others are combined before it.
+    """
     path = shared_folder(found.sparkSession, "links")
     found.select("job_id", "skill_id").write.parquet(path)
     found = found.sparkSession.read.parquet(path)
     touched = links.touched(found)
-    return links.replace(merge_links(links.read(touched), found), touched)
+    stored = links.read(touched)
+    if unique:
+        return links.replace(found if stored is None else stored.unionByName(found), touched, distinct=True)
+    return links.replace(merge_links(stored, found), touched)
 
 
 def prune_links(links: BucketedTable, changes: DataFrame, gone_skills: DataFrame | None = None) -> int:

@@ -52,9 +52,9 @@ def load(spark: SparkSession, clean_base: str, warehouse_base: str, batch_time:
     jobs = buckets.BucketedTable(spark, f"{warehouse_base}/jobs", "job_id")
     links = buckets.BucketedTable(spark, f"{warehouse_base}/job_skills", "job_id", filters=False)
     skills = storage.VersionedTable(spark, f"{warehouse_base}/skills")
-    warehouse.upsert_buckets(jobs, accepted.drop("skills"), batch_time, unique=True)
+    warehouse.upsert_buckets(jobs, accepted.drop("skills"), batch_time, unique=True, stored=True)
     dim = skills.write(warehouse.upsert_skill_dim(skills.read(), warehouse.skill_names(accepted)))
-    warehouse.add_links(links, warehouse.link_job_skills(accepted, dim, unique=True))
+    warehouse.add_links(links, warehouse.link_job_skills(accepted, dim, unique=True), unique=True)
     return watch.get["row_count"]
 
 

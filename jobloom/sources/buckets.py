@@ -103,19 +103,27 @@ class BucketedTable:
 
     # ---- writing ----
 
-    def replace(self, rows: DataFrame, buckets: list[int] | None = None) -> int:
+    def _dealt(self, rows: DataFrame, distinct: bool) -> DataFrame:
+        """`rows` with `bucket`, each bucket in as many pieces as there are shuffle partitions for it."""
+        pieces = -(-int(self._spark.conf.get("spark.sql.shuffle.partitions")) // self._number())
+        placed, by = rows.withColumn("bucket", self.bucket()), ["bucket"]
+        if pieces > 1:
+            placed, by = placed.withColumn("_piece", F.pmod(content_order(rows), F.lit(pieces))), ["bucket", "_piece"]
+        dealt = placed.repartition(*by)
+        return (dealt.distinct() if distinct else dealt).drop("_piece")
+
+    def replace(self, rows: DataFrame, buckets: list[int] | None = None, distinct: bool = False) -> int:
         """Store `rows` as the whole content of the given buckets (all of them); the new generation.
 
         `rows` may read the table. All its keys lie in these buckets. With more shuffle partitions than
         buckets, a bucket is dealt over several tasks by its rows' content, so neither the number of
-        buckets nor a key of many rows decides what one task sorts.
+        buckets nor a key of many rows decides what one task sorts. `distinct`: equal rows, which lie in
+        one piece, are stored once, without a shuffle of their own.
         """
         log = self._log()
         number, generation = self._number(), log[-1]["generation"] + 1 if log else 1
-        placed = rows.withColumn("bucket", self.bucket()).withColumn("generation", F.lit(generation))
-        pieces = -(-int(self._spark.conf.get("spark.sql.shuffle.partitions")) // number)
-        dealt = placed.repartition("bucket", F.pmod(content_order(rows), F.lit(pieces))) if pieces > 1 else placed.repartition("bucket")
-        writer = dealt.write.partitionBy("generation", "bucket").mode("overwrite")
+        placed = self._dealt(rows, distinct).withColumn("generation", F.lit(generation))
+        writer = placed.write.partitionBy("generation", "bucket").mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self._base}/data")
         path = f"{self._base}/data/generation={generation}"
         fresh = self._spark.read.schema(rows.schema).parquet(path) if exists(self._spark, path) else None

@@ -233,3 +233,16 @@ def test_a_bucket_is_dealt_over_several_tasks(spark, tmp_path):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_unique_links_are_merged_in_one_shuffle(spark, tmp_path):
+    pairs = [("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 3), (None, 3)]
+    later = [("a", 2), ("a", 3), ("c", 1), (None, 3), ("d", None)]
+    first, second = (spark.createDataFrame(rows, "job_id string, skill_id int") for rows in (pairs, later))
+    for unique, number in ((False, 4), (True, 4), (True, 16)):
+        links = BucketedTable(spark, str(tmp_path / f"links{unique}{number}"), "job_id", buckets=number, filters=False)
+        for found in (first, second, second):
+            warehouse.add_links(links, found, unique=unique)
+        assert rows_of(links.read(), "job_id", "skill_id") == sorted(set(pairs + later), key=str)
+        plan = links._dealt(links.read().unionByName(second), True)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" in plan

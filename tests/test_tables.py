@@ -106,6 +106,21 @@ def test_batch_twice(spark, landed, tmp_path):
     assert steps.count() == 6 and steps.where("step = 'load'").count() == 2
 
 
+def test_accepted_postings_are_stored_once(spark, tmp_path, monkeypatch):
+    made = []
+    folder = storage.shared_folder
+    for module in (storage, warehouse):
+        monkeypatch.setattr(module, "shared_folder", lambda spark, purpose: made.append(purpose) or folder(spark, purpose))
+    rows = [("k1", "Dev", "sql, go"), ("k2", "Ops", "go"), ("k3", None, "refused")]
+    spark.createDataFrame(rows, "job_id string, title string, skills string").withColumn("salary", F.lit("$1")).write.parquet(str(tmp_path / "clean/parquet"))
+    for day in (DAY_1, DAY_2):
+        assert batch.load(spark, str(tmp_path / "clean"), str(tmp_path / "warehouse"), day) == 2
+    assert made.count("accepted") == 2 and "batch" not in made
+    jobs, links = (buckets.BucketedTable(spark, str(tmp_path / "warehouse" / name), "job_id").read() for name in ("jobs", "job_skills"))
+    assert sorted(r["job_id"] for r in jobs.collect()) == ["k1", "k2"] and links.count() == 3
+    assert {moment(r["created_at"]) for r in jobs.collect()} == {DAY_1} and {moment(r["updated_at"]) for r in jobs.collect()} == {DAY_2}
+
+
 def test_batch_stops_at_an_empty_step(spark, landed, tmp_path):
     none = [feed.limit(0) for feed in landed]
     with pytest.raises(batch.EmptyStep):
